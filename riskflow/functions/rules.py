@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import operator
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
@@ -76,7 +77,10 @@ def risk_score(rules: Iterable[Rule]) -> Column:
     return reduce(operator.add, (rule.score() for rule in rules), F.lit(0)).cast("int")
 
 
-def reasons(rules: Iterable[Rule]) -> Column:
-    """Reason codes of the rules that hold, in rule order, as an array."""
-    found = [F.when(rule.condition(), F.lit(rule.reason)) for rule in rules]
-    return F.array_compact(F.array(*found).cast("array<string>"))
+def score_reasons(rules: Iterable[Rule]) -> Column:
+    """Reason codes of the rules that hold, in rule order, as a JSON array.
+
+    Codes are quoted when the rules are compiled, so a row only joins literals.
+    """
+    found = [F.when(rule.condition(), F.lit(json.dumps(rule.reason))) for rule in rules]
+    return F.concat(F.lit("["), F.concat_ws(",", *found), F.lit("]"))

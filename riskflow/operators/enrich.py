@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from datetime import date
+
+from pyspark.sql import DataFrame, functions as F
 
 from riskflow.functions.dates import company_age
 from riskflow.operators.skew import BROADCAST_ROWS, HOT_ROWS, attach, fits, hot_part
 from riskflow.sources.tables import written
 
 
-def with_company_age(registry: DataFrame, as_of: Column) -> DataFrame:
+def with_company_age(registry: DataFrame, as_of: date) -> DataFrame:
     """Replace the start date by the age, and hold capital in single precision."""
     return registry.select(
         "cnpj",
         "status",
-        company_age(F.col("activity_start_date"), as_of).alias("company_age"),
+        company_age(F.col("activity_start_date"), F.lit(as_of)).alias("company_age"),
         F.col("capital_stock").cast("float").alias("capital_stock"),
     )
 

@@ -28,15 +28,9 @@ def fingerprinted(transactions: DataFrame, amount_style: str = "shortest") -> Da
 def to_fact(scored: DataFrame, run_time: datetime) -> DataFrame:
     """The thirteen fact columns in order and type. Capital is cast directly, never
     through text."""
-    derived = {
-        "score_reasons": F.to_json("reasons"),
-        "processed_at": F.lit(run_time),
-    }
-    return scored.select(
-        *[
-            derived.get(field.name, F.col(field.name)).cast(field.dataType).alias(field.name)
-            for field in FACT.fields
-        ]
+    stamped = scored.withColumn("processed_at", F.lit(run_time))
+    return stamped.select(
+        *[F.col(field.name).cast(field.dataType).alias(field.name) for field in FACT.fields]
     )
 
 

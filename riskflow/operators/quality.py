@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -55,36 +55,50 @@ def require_no_nulls(rows: DataFrame, load: str | None = None) -> DataFrame:
     return rows.where(F.when(complete, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
+def _constraints() -> dict[str, Column]:
+    """What must hold for each fact column that can be refused. Null means refused."""
+    text = {name: F.length(name) <= size for name, size in TEXT_LIMITS.items()}
+    numbers = {name: F.col(name).try_cast(kind).isNotNull() for name, kind in NUMBER_LIMITS.items()}
+    return {
+        "transaction_id": canonical_uuid(F.col("transaction_id")).isNotNull(),
+        **text,
+        **numbers,
+        "payload_hash": F.col("payload_hash").isNotNull(),
+    }
+
+
+def lands() -> Column:
+    """Whether the fact table takes a row. A plain conjunction, never null."""
+    return reduce(and_, (F.coalesce(held, F.lit(False)) for held in _constraints().values()))
+
+
 def landing_violations() -> Column:
     """Names of the fact columns whose value the fact table would refuse, as an array."""
-    def breach(name: str, broken: Column) -> Column:
-        return F.when(F.coalesce(broken, F.lit(True)), F.lit(name))
-
-    checks = [breach("transaction_id", canonical_uuid(F.col("transaction_id")).isNull())]
-    checks += [breach(n, F.length(n) > size) for n, size in TEXT_LIMITS.items()]
-    checks += [breach(n, F.col(n).try_cast(kind).isNull()) for n, kind in NUMBER_LIMITS.items()]
-    checks.append(breach("payload_hash", F.col("payload_hash").isNull()))
-    return F.array_compact(F.array(*checks))
+    return F.array_compact(
+        F.array(
+            *[
+                F.when(~F.coalesce(held, F.lit(False)), F.lit(name))
+                for name, held in _constraints().items()
+            ]
+        )
+    )
 
 
-def require_landable(scored: DataFrame) -> DataFrame:
+def require_landable(rows: DataFrame) -> DataFrame:
     """Fail the job on the first row the fact table would refuse."""
-    broken = landing_violations()
     message = F.concat(
         F.coalesce("transaction_id", F.lit("?")),
         F.lit(": not landable because of "),
-        F.array_join(broken, ", "),
+        F.array_join(landing_violations(), ", "),
     )
-    return scored.where(
-        F.when(F.size(broken) == 0, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return rows.where(
+        F.when(lands(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
     )
 
 
-def split_landable(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_landable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows that land, and the others with their ``violations``."""
-    checked = scored.withColumn("violations", landing_violations())
-    landable = checked.where(F.size("violations") == 0).drop("violations")
-    return landable, checked.where(F.size("violations") > 0)
+    return rows.where(lands()), rows.where(~lands()).withColumn("violations", landing_violations())
 
 
 def duplicate_keys(fact: DataFrame) -> DataFrame:

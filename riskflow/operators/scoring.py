@@ -2,33 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from riskflow.functions.rules import Rule, reasons, risk_score
+from riskflow.functions.rules import Rule, risk_score, score_reasons
 
-# Fixed values.
-MUTATION_POINTS = 75
-MUTATION_REASON = "payload_mutation_detected"
+#: Penalty of rows flagged ``mutated``; it comes after all other rules. Fixed values.
+MUTATION = Rule("mutated", "==", 75, "payload_mutation_detected", value=True)
 
 
 def score(enriched: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Add ``risk_score`` and the ``reasons`` array."""
-    return enriched.withColumns({"risk_score": risk_score(rules), "reasons": reasons(rules)})
-
-
-def penalise_mutations(scored: DataFrame) -> DataFrame:
-    """Points and a last reason for rows flagged ``mutated``."""
-    return scored.withColumns(
-        {
-            "risk_score": F.col("risk_score")
-            + F.when(F.col("mutated"), MUTATION_POINTS).otherwise(0),
-            "reasons": F.when(
-                F.col("mutated"), F.array_append("reasons", F.lit(MUTATION_REASON))
-            ).otherwise(F.col("reasons")),
-        }
+    """Add ``risk_score`` and ``score_reasons``."""
+    return enriched.withColumns(
+        {"risk_score": risk_score(rules), "score_reasons": score_reasons(rules)}
     )
 
 
+def score_history(enriched: DataFrame, rules: list[Rule]) -> DataFrame:
+    """:func:`score` for rows with a resolved history, penalty included."""
+    return score(enriched, [*rules, MUTATION])
+
+
 def rule_points(enriched: DataFrame, rules: list[Rule]) -> DataFrame:
     """One column of points per rule, named after its reason."""
     return enriched.withColumns({rule.reason: rule.score() for rule in rules})

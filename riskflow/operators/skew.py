@@ -11,6 +11,8 @@ A lookup with one row per key is attached to rows in three regimes:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: A key with more rows than this is kept out of the shuffle on the key.
@@ -46,23 +48,41 @@ def attach(
 ) -> DataFrame:
     """Left join of ``lookup`` by shuffle, with the keys of ``hot_lookup`` broadcast.
 
-    ``hot_lookup`` has the columns of ``lookup`` and one row per hot key, nulls where
+    The key is text. ``hot_lookup`` has the columns of ``lookup`` and one row per hot key, nulls where
     the lookup has none. ``spread_by`` are row columns that vary within a hot key.
     """
     values = [name for name in lookup.columns if name != key]
     packed = F.struct(*values)
     hot = F.broadcast(hot_lookup.select(key, packed.alias("_hot")))
-    rest = lookup.select(key, F.lit(0).alias("_lane"), packed.alias("_rest"))
+    rest = lookup.select(F.col(key).alias("_route"), packed.alias("_rest"))
 
+    # Hot rows are routed by a salted key. It matches nothing that counts: their values
+    # come from the broadcast. (A constant salt column would be optimized out of the join
+    # keys, and with it the spreading.)
     is_hot = F.col("_hot").isNotNull()
-    lane = F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(_SPREAD)) + 1).otherwise(0)
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(_SPREAD)).cast("string")
+    route = F.when(is_hot, F.concat_ws("#", F.col(key), salt)).otherwise(F.col(key))
 
     def chosen(name: str) -> Column:
         return F.when(is_hot, F.col("_hot")[name]).otherwise(F.col("_rest")[name]).alias(name)
 
     return (
         rows.join(hot, key, "left")
-        .withColumn("_lane", lane.cast("int"))
-        .join(rest, [key, "_lane"], "left")
+        .withColumn("_route", route)
+        .join(rest, "_route", "left")
         .select(*[F.col(name) for name in rows.columns], *[chosen(name) for name in values])
     )
+
+
+def attach_checked(
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    hot_lookup: Callable[[], DataFrame],
+    spread_by: list[str],
+    broadcast_rows: int,
+) -> DataFrame:
+    """Left join by broadcast if the lookup fits ``broadcast_rows``, else :func:`attach`."""
+    if fits(lookup, broadcast_rows):
+        return rows.join(F.broadcast(lookup), key, "left")
+    return attach(rows, lookup, key, hot_lookup(), spread_by)

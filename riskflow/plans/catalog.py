@@ -20,14 +20,21 @@ from riskflow.functions.rules import Rule, load_rules
 from riskflow.operators import audit, enrich as companies, quality
 from riskflow.operators.landing import fingerprinted, new_rows, read_fact, to_fact
 from riskflow.operators.mutation import flag_against
-from riskflow.operators.scoring import penalise_mutations, rule_points, score
-from riskflow.plans.loads import LoadSettings, load_folder, load_rows, payload, resolved, scored
-from riskflow.plans.loads import with_epochs
+from riskflow.operators.scoring import rule_points, score, score_history
+from riskflow.plans.loads import (
+    LoadSettings,
+    enriched as with_companies,
+    load_folder,
+    load_rows,
+    payload,
+    resolved,
+    with_epochs,
+)
 from riskflow.schemas import AUDIT_EVENTS, FACT, FACT_KEY, REGISTRY_JSON_FIELDS
 from riskflow.sources import fixtures, registry as registry_source
 from riskflow.sources.batches import number_batches, sorted_copy
 from riskflow.sources.tables import new_folder, read_or_empty
-from riskflow.sources.transactions import file_order, read_transactions
+from riskflow.sources.transactions import file_order, read_transactions, with_file_seq
 from riskflow.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,7 +77,7 @@ def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _aged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return companies.with_company_age(fixtures.registry(spark, sf_dir), F.lit(fixtures.AS_OF))
+    return companies.with_company_age(fixtures.registry(spark, sf_dir), fixtures.AS_OF)
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,20 +201,20 @@ def registry_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected
 
 
-def _service_record(cnpj: str) -> str:
-    """Stands in for a registry service: a record computed from the company number."""
-    number = int(cnpj[1:])
-    return json.dumps({
-        REGISTRY_JSON_FIELDS["status"]: "ATIVO" if number % 3 else "BAIXADA",
-        REGISTRY_JSON_FIELDS["activity_start_date"]: f"2020-01-{number % 28 + 1:02d}",
-        REGISTRY_JSON_FIELDS["capital_stock"]: number * 16,
-    })
+def registry_fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing companies from a stand-in service that computes records from the number."""
+    names = dict(REGISTRY_JSON_FIELDS)
 
+    def service(cnpj: str) -> str:
+        number = int(cnpj[1:])
+        return json.dumps({
+            names["status"]: "ATIVO" if number % 3 else "BAIXADA",
+            names["activity_start_date"]: f"2020-01-{number % 28 + 1:02d}",
+            names["capital_stock"]: number * 16,
+        })
 
-def registry_fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, misses = registry_source.split_cache(*_companies_and_live(spark, sf_dir))
-    records = registry_source.fetch_missing(misses, _service_record)
-    valid, _ = registry_source.parse_registry_json(records)
+    valid, _ = registry_source.parse_registry_json(registry_source.fetch_missing(misses, service))
     return shown(valid)
 
 
@@ -222,30 +229,33 @@ def rule_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(_enriched(spark, sf_dir), ALL_OPERATORS).select(
-        *FACT_KEY, "file_seq", "risk_score", F.to_json("reasons").alias("score_reasons")
+        *FACT_KEY, "file_seq", "risk_score", "score_reasons"
     )
 
 
 def risk_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _keyed(spark, sf_dir)
-    return shown(to_fact(scored(rows, fixtures.registry(spark, sf_dir), SETTINGS), SETTINGS.run_time))
+    return shown(to_fact(score(_enriched(spark, sf_dir), SETTINGS.rules), SETTINGS.run_time))
 
 
 # --- history ----------------------------------------------------------------------
 
 
+def _history(rows: DataFrame, known: DataFrame, settings: LoadSettings) -> DataFrame:
+    """Fact rows of payloads with epochs, nothing being stored yet."""
+    new = with_companies(resolved(rows, settings), known, settings)
+    return shown(to_fact(score_history(new, settings.rules), settings.run_time))
+
+
 def risk_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = payload(with_epochs(fixtures.transactions(spark, sf_dir), SETTINGS), SETTINGS)
-    new = scored(resolved(rows, SETTINGS), fixtures.registry(spark, sf_dir), SETTINGS)
-    return shown(to_fact(penalise_mutations(new), SETTINGS.run_time))
+    return _history(rows, fixtures.registry(spark, sf_dir), SETTINGS)
 
 
 def risk_history_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same when nothing fits a broadcast and keys with two rows are hot already."""
     tight = replace(SETTINGS, broadcast_rows=0, hot_rows=1)
     rows = payload(with_epochs(fixtures.transactions(spark, sf_dir), tight), tight)
-    new = scored(resolved(rows, tight), fixtures.registry(spark, sf_dir), tight)
-    return shown(to_fact(penalise_mutations(new), tight.run_time))
+    return _history(rows, fixtures.registry(spark, sf_dir), tight)
 
 
 def _delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,9 +265,7 @@ def _delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sorted_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All loads sorted by id; rows of one id by fingerprint, copies by file position."""
-    rows = _delivered(spark, sf_dir)
-    order = file_order(rows).select("file", "file_seq")
-    keyed = fingerprinted(rows.join(F.broadcast(order), "file"))
+    keyed = fingerprinted(with_file_seq(_delivered(spark, sf_dir)))
     return sorted_copy(
         keyed, new_folder(spark, "sorted"), load="file_seq", tie=("payload_hash", "row_index")
     )
@@ -281,8 +289,7 @@ def risk_history_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = number_batches(_sorted_loads(spark, sf_dir), BATCH_SIZE, "file_seq")
     rows = batches.withColumn("epoch", F.col("file_seq") * 1_000_000 + F.col("batch_no"))
     needed = rows.select(*FACT_KEY, "payer_cnpj", "receiver_cnpj", "amount", "epoch")
-    new = scored(resolved(needed, SETTINGS), fixtures.registry(spark, sf_dir), SETTINGS)
-    return shown(to_fact(penalise_mutations(new), SETTINGS.run_time))
+    return _history(needed, fixtures.registry(spark, sf_dir), SETTINGS)
 
 
 def _first_loads_and_replay(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -332,7 +339,7 @@ def null_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landing_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored rows, some with an oversized number, a long company or a broken id."""
-    rows = scored(_keyed(spark, sf_dir), fixtures.registry(spark, sf_dir), SETTINGS)
+    rows = score(_enriched(spark, sf_dir), SETTINGS.rules)
     invoice = F.substring("invoice_id", 5, 20).cast("long")
     return rows.withColumns({
         "amount": F.when(invoice % 101 == 1, F.lit(1e14)).otherwise(F.col("amount")),
@@ -395,7 +402,7 @@ def _quarantining(spark: SparkSession) -> LoadSettings:
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four loads in one job, the replay on top, then a load with changed amounts."""
     fact = new_folder(spark, "fact")
-    rows = fixtures.transactions(spark, sf_dir).withColumn("file", F.col("file_seq").cast("string"))
+    rows = with_file_seq(_delivered(spark, sf_dir))
     changed = rows.where("file_seq < 4").where(
         F.substring("invoice_id", 5, 20).cast("long") % 10 == 1
     ).withColumn("amount", F.col("amount") + 1)

@@ -14,11 +14,11 @@ from riskflow.operators.enrich import distinct_companies, enrich, with_company_a
 from riskflow.operators.landing import fingerprinted, read_fact, to_fact, write_load
 from riskflow.operators.mutation import keys_of_interest, resolve_history
 from riskflow.operators.quality import require_landable, require_no_nulls, split_landable
-from riskflow.operators.scoring import penalise_mutations, score
+from riskflow.operators.scoring import score_history
 from riskflow.operators.skew import BROADCAST_ROWS, HOT_ROWS
 from riskflow.schemas import FACT_KEY
 from riskflow.sources.batches import assign_epochs, sorted_copy
-from riskflow.sources.tables import new_folder
+from riskflow.sources.tables import new_folder, written
 from riskflow.sources.transactions import file_order, read_transactions, with_file_seq
 
 #: Maps the distinct companies of a load to registry rows.
@@ -41,13 +41,12 @@ class LoadSettings:
     hot_rows: int = HOT_ROWS
 
 
-def scored(
+def enriched(
     transactions: DataFrame, registry: DataFrame, settings: LoadSettings
 ) -> DataFrame:
-    """Enrich fingerprinted rows and add ``risk_score`` and ``reasons``."""
-    aged = with_company_age(registry, F.lit(settings.as_of))
-    enriched = enrich(transactions, aged, settings.broadcast_rows, settings.hot_rows)
-    return score(enriched, settings.rules)
+    """Registry attributes of both companies, under the limits of the run."""
+    aged = with_company_age(registry, settings.as_of)
+    return enrich(transactions, aged, settings.broadcast_rows, settings.hot_rows)
 
 
 def with_epochs(transactions: DataFrame, settings: LoadSettings) -> DataFrame:
@@ -95,19 +94,25 @@ def load_rows(
     companies = registry(distinct_companies(transactions)) if callable(registry) else registry
     rows = payload(with_epochs(require_no_nulls(transactions, "file"), settings), settings)
     stored = keys_of_interest(
-        read_fact(spark, fact_path, before=load_seq), rows, total_rows, settings.broadcast_rows
+        read_fact(spark, fact_path, before=load_seq),
+        fingerprinted(transactions, settings.amount_style),
+        total_rows,
+        settings.broadcast_rows,
     )
     if settings.reject_path is None:
         # Duplicates go before the registry joins: every fact column follows from the
         # fingerprinted fields, the registry and the run time.
-        new = scored(resolved(rows, settings, stored), companies, settings)
-        landable = require_landable(penalise_mutations(new))
+        new = enriched(resolved(rows, settings, stored), companies, settings)
+        landable = require_landable(new)
     else:
-        # Rows that never land must not count as earlier versions of an id.
-        good, rejected = split_landable(scored(rows, companies, settings))
+        # Rows that never land must not count as earlier versions of an id, so the check
+        # comes first; the enriched rows are kept, as three jobs read them.
+        kept = written(enriched(rows, companies, settings), "enriched")
+        good, rejected = split_landable(kept)
         rejected.write.mode("overwrite").parquet(f"{settings.reject_path}/load_seq={load_seq}")
-        landable = penalise_mutations(resolved(good, settings, stored))
-    write_load(to_fact(landable, settings.run_time), fact_path, load_seq)
+        landable = resolved(good, settings, stored)
+    fact_rows = to_fact(score_history(landable, settings.rules), settings.run_time)
+    write_load(fact_rows, fact_path, load_seq)
     inserted = read_fact(spark, fact_path).where(F.col("load_seq") == load_seq).count()
     return total_rows, inserted
 

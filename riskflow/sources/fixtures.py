@@ -22,6 +22,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Give every core work when a small table is a single row group.
+
+    A table with at least one split per core, as any large one has, is left alone.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+
+
 def _company(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 13, "0"))
 
@@ -33,7 +42,10 @@ def _hyphenated(digits: Column) -> Column:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input columns plus ``file_seq``: four loads, and a fifth that repeats rows of them."""
-    lines = _table(spark, sf_dir, "lineitem")
+    lines = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"
+    )
+    lines = _spread(lines, "l_orderkey", "l_linenumber")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     order, line = F.col("l_orderkey"), F.col("l_linenumber")
     digest = F.md5(F.concat(order.cast("string"), F.lit("-"), line.cast("string")))
