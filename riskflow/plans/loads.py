@@ -19,7 +19,7 @@ from riskflow.operators.skew import BROADCAST_ROWS, HOT_ROWS
 from riskflow.schemas import FACT_KEY
 from riskflow.sources.batches import assign_epochs, sorted_copy
 from riskflow.sources.tables import new_folder, written
-from riskflow.sources.transactions import file_order, read_transactions, with_file_seq
+from riskflow.sources.transactions import load_names, read_transactions, with_file_seq
 
 #: Maps the distinct companies of a load to registry rows.
 RegistryLookup = Callable[[DataFrame], DataFrame]
@@ -175,10 +175,15 @@ def load_folder(
         )
 
     total = 0
-    for load in file_order(transactions).orderBy("file_seq").toLocalIterator():
-        path = f"{input_path}/{load['file']}"
-        one = read_transactions(spark, path, unit).withColumn("file_seq", F.lit(0))
+    for position, name in enumerate(load_names(transactions, unit)):
+        one = read_transactions(spark, f"{input_path}/{name}", unit)
         total += audited_load(
-            one, registry, fact_path, audit_path, first + load["file_seq"], load["file"], settings
+            one.withColumn("file_seq", F.lit(0)),
+            registry,
+            fact_path,
+            audit_path,
+            first + position,
+            name,
+            settings,
         )
     return total

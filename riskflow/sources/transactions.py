@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlparse
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import DataStreamReader
 
@@ -53,6 +55,13 @@ def stream_transactions(
     return reader.parquet(path).select(*_columns(unit))
 
 
+def load_names(transactions: DataFrame, unit: str = "file") -> list[str]:
+    """Names of all loads in name order, empty ones included, from the file listing."""
+    place = -1 if unit == "file" else -2
+    paths = (unquote(urlparse(uri).path) for uri in transactions.inputFiles())
+    return sorted({path.split("/")[place] for path in paths})
+
+
 def file_order(transactions: DataFrame) -> DataFrame:
     """``file``, ``file_seq`` from 0 in name order, and ``total_rows`` per load.
 
