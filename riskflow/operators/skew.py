@@ -49,7 +49,8 @@ def attach(
     """Left join of ``lookup`` by shuffle, with the keys of ``hot_lookup`` broadcast.
 
     The key is text. ``hot_lookup`` has the columns of ``lookup`` and one row per hot key, nulls where
-    the lookup has none. ``spread_by`` are row columns that vary within a hot key.
+    the lookup has none. ``spread_by`` are row columns that vary within a hot key; equal
+    rows are told apart by their input partition, which a repeated task does not change.
     """
     values = [name for name in lookup.columns if name != key]
     packed = F.struct(*values)
@@ -60,7 +61,7 @@ def attach(
     # come from the broadcast. (A constant salt column would be optimized out of the join
     # keys, and with it the spreading.)
     is_hot = F.col("_hot").isNotNull()
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(_SPREAD)).cast("string")
+    salt = F.pmod(F.xxhash64(*spread_by, F.spark_partition_id()), F.lit(_SPREAD)).cast("string")
     route = F.when(is_hot, F.concat_ws("#", F.col(key), salt)).otherwise(F.col(key))
 
     def chosen(name: str) -> Column:

@@ -93,9 +93,11 @@ def load_rows(
     total_rows = transactions.count()
     companies = registry(distinct_companies(transactions)) if callable(registry) else registry
     rows = payload(with_epochs(require_no_nulls(transactions, "file"), settings), settings)
+    # Holds for every id; a comparison lets Spark filter the stored keys at run time.
+    with_id = transactions.where(F.col("transaction_id") >= "")
     stored = keys_of_interest(
         read_fact(spark, fact_path, before=load_seq),
-        fingerprinted(transactions, settings.amount_style),
+        fingerprinted(with_id, settings.amount_style),
         total_rows,
         settings.broadcast_rows,
     )

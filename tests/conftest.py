@@ -7,9 +7,10 @@ from riskflow.session import tuned
 @pytest.fixture(scope="session")
 def spark():
     builder = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
     )

@@ -93,6 +93,15 @@ def test_hot_company_is_spread_over_partitions(spark, shuffled_plans):
     assert sum(shares) == 900 and len(shares) == 4 and max(shares) < 400
 
 
+def test_equal_rows_of_a_hot_company_are_spread_too(spark, shuffled_plans):
+    rows = payments(spark, payment()).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(2_000))))
+    rows = rows.repartition(40).drop("copy")
+    aged = with_company_age(sound_registry(spark), AS_OF)
+    joined = enrich(rows, aged, broadcast_rows=0, hot_rows=100)
+    shares = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(shares) == 2_000 and len(shares) > 1 and max(shares) < 1_500
+
+
 def test_distinct_companies(spark):
     rows = payments(spark, payment(1), payment(2, payer_cnpj=RECEIVER), payment(3, receiver_cnpj="7" * 14))
     assert {r.cnpj for r in distinct_companies(rows).collect()} == {PAYER, RECEIVER, "7" * 14}

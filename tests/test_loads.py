@@ -270,3 +270,19 @@ def test_absent_table_is_empty_and_other_errors_are_not_hidden(spark, folder):
 def test_working_folders_are_below_the_shared_folder(spark):
     first, second = new_folder(spark, "x"), new_folder(spark, "x")
     assert first != second and first.startswith(shared_root(spark))
+
+
+# --- command line -----------------------------------------------------------------
+
+
+def test_command_line_load(spark, place, folder):
+    from riskflow.__main__ import main
+
+    deliver(spark, place, "a", payment(1))
+    sound_registry(spark).write.parquet(folder("registry"))
+    main([
+        place.inbox, place.fact, place.trail, "--registry", folder("registry"),
+        "--cache", folder("cache"), "--unit", "folder", "--one-job",
+    ])
+    assert set(facts(spark, place)) == {(some_id(1), "100.00")}
+    assert spark.read.parquet(folder("cache")).count() == 2
