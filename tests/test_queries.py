@@ -9,7 +9,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from compare import difference, duck  # noqa: E402
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from riskflow.plans.catalog import QUERIES  # noqa: E402
+from riskflow.plans.oracles import ORACLES  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -22,7 +24,7 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
@@ -30,6 +32,6 @@ def test_entry(spark):
     assert frame.columns[0] == "transaction_id" and frame.count() == 6_604
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, connection, name):
-    assert difference(queries()[name](spark, SMALL), connection, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, SMALL), connection, ORACLES[name]) is None
