@@ -39,7 +39,7 @@ def _with(value: Column, then: Callable[[Column], Column]) -> Column:
 def sketch(text: Column | str, k: int = K, shingle: int = SHINGLE) -> Column:
     """Bottom-k sketch of a text column, an array of longs."""
     text = F.col(text) if isinstance(text, str) else text
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
     hashed = F.transform(words, lambda w: F.xxhash64(w))
     return _with(hashed, lambda h: _least(_shingled(h, shingle), k))
 

@@ -42,46 +42,47 @@ UNIT = "(\\x01[^\\x04]*\\x04 ?)(" + "|".join(sorted((u.replace("/", "\\/") for u
 TOKEN = r"[\x01-\x03][^\x04]*\x04|\p{L}+"
 
 
-def tokens(text: Column) -> Column:
-    """Tokens of a text; a slot is its mark, its value in lower case and ``\\x04``."""
+def marked(text: Column) -> Column:
+    """A text in lower case in which slots are marked."""
     plain = F.regexp_replace(text, r"[\x01-\x04]", " ")
     named = F.regexp_replace(plain, F.lit(NAME), F.lit("$1\x02$2\x04"))
     numbered = F.regexp_replace(named, F.lit(NUMBER), F.lit("\x01$1\x04"))
-    marked = F.regexp_replace(numbered, F.lit(UNIT), F.lit("$1\x03$2\x04$3"))
-    return F.regexp_extract_all(F.lower(marked), F.lit(TOKEN), F.lit(0))
+    return F.lower(F.regexp_replace(numbered, F.lit(UNIT), F.lit("$1\x03$2\x04$3")))
 
 
-def windows(rows: DataFrame, key: str, width: int = TEMPLATE, literals: int = LITERALS) -> DataFrame:
-    """``key, at, window, slots`` of every window; ``slots`` are the values of its slots in a row."""
+def windows(rows: DataFrame, key: str, width: int = TEMPLATE) -> DataFrame:
+    """``key, at, window, words, slots`` of every window: its place, the hash of its template,
+    the number of its tokens and the values of its slots in a row, each up to ``\\x04``."""
     cut = rows.where(F.col(key).isNotNull() & F.col("text").isNotNull()).select(
-        F.col(key).cast("long").alias(key), tokens(F.col("text")).alias("tokens")
+        F.col(key).cast("long").alias(key), marked(F.col("text")).alias("text")
+    ).select(
+        key, (F.instr("text", "\x04") > 0).alias("any"), F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)).alias("tokens")
     ).where(F.size("tokens") > 0)
-    # Slots hash by their mark alone; a hash of words only leaves the slots out for later.
     is_slot = lambda t: t < "\x04"
-    hashed = cut.withColumn("hashes", F.transform(
+    hashed = cut.withColumn("hashes", F.transform(  # slots by their mark alone
         "tokens", lambda t: F.when(is_slot(t), F.xxhash64(F.substring(t, 1, 1))).otherwise(F.xxhash64(t))
-    )).withColumn("any", F.exists("tokens", is_slot))
+    ))
     last = F.greatest(F.size("hashes") - (width - 1), F.lit(1))
-
-    def slots(i: Column) -> Column:
-        return F.filter(F.slice("tokens", i, width), is_slot)
-
     found = F.transform(F.sequence(F.lit(1), last), lambda i: F.struct(
         i.alias("at"), F.xxhash64(F.slice("hashes", i, width)).alias("window"),
-        F.when(F.col("any"), F.array_join(slots(i), "")).otherwise(F.lit("")).alias("slots"),
+        F.when(F.col("any"), F.array_join(F.filter(F.slice("tokens", i, width), is_slot), "")).otherwise(F.lit("")).alias("slots"),
     ))
-    words = F.size(F.split("slots", "\x04")) - 1
-    least = F.least(F.lit(literals), F.col("n"))
-    return hashed.select(key, F.least(F.size("hashes"), F.lit(width)).alias("n"), F.inline(found)).where(
-        F.col("n") - words >= least
-    ).select(key, "at", "window", "slots")
+    return hashed.select(key, F.least(F.size("hashes"), F.lit(width)).alias("words"), F.inline(found))
+
+
+def item_windows(benchmark: DataFrame, literals: int = LITERALS) -> DataFrame:
+    """Windows of the benchmark with enough words that are not slots."""
+    slots = F.size(F.split("slots", "\x04")) - 1
+    return windows(benchmark, "item_id").where(
+        F.col("words") - slots >= F.least(F.lit(literals), F.col("words"))
+    ).select("item_id", F.col("at").alias("item_at"), "window", F.col("slots").alias("item_slots"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """``doc_id, item_id, matched, item_windows`` of the pairs in which the document holds the item."""
-    items = windows(benchmark, "item_id").select("item_id", F.col("at").alias("item_at"), "window", F.col("slots").alias("item_slots"))
+    items = item_windows(benchmark)
     total = items.groupBy("item_id").agg(F.countDistinct("window").alias("item_windows"))
-    met = windows(docs, "doc_id").join(small(items), "window")
+    met = windows(docs, "doc_id").drop("words").join(small(items), "window")
     run = (F.col("at") - F.col("item_at")).alias("distance")
     pairs = F.transform(
         F.arrays_zip(F.split("item_slots", "\x04").alias("a"), F.split("slots", "\x04").alias("b")),

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskflow.llm.common import table
+from riskflow.llm.common import small, table
 from riskflow.sources.tables import written
 
 MIN_CHARS = 20
@@ -50,7 +50,7 @@ def repeated_runs(docs: DataFrame, later: DataFrame, min_chars: int = MIN_CHARS)
     lines = (
         docs.where(F.col("text").isNotNull()).select(*_key(), F.posexplode(F.split("text", "\n", -1)).alias("i", "line"))
         .select("d", "t", "i", F.xxhash64("line").alias("name"), F.length("line").cast("long").alias("chars"))
-        .join(later, ["d", "t"], "left_anti")
+        .join(small(later), ["d", "t"], "left_anti")
     )
     level, marks, width = lines, None, 1
     while True:
