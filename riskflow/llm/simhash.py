@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType
 
 from riskflow.llm.common import table, texts
 from riskflow.llm.components import roots
@@ -61,7 +62,7 @@ def fingerprint(text: str | None) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def fingerprints(values: pd.Series) -> pd.Series:
     return pd.Series([fingerprint(t) for t in values], dtype="int64")
 
