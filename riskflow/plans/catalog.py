@@ -32,7 +32,7 @@ from riskflow.plans.loads import (
 )
 from riskflow.schemas import AUDIT_EVENTS, FACT, FACT_KEY, REGISTRY_JSON_FIELDS
 from riskflow.sources import fixtures, registry as registry_source
-from riskflow.sources.batches import number_batches, sorted_copy
+from riskflow.sources.batches import assign_epochs, number_batches, sorted_copy
 from riskflow.sources.tables import new_folder, read_or_empty
 from riskflow.sources.transactions import file_order, read_transactions, with_file_seq
 from riskflow.streaming import ingest
@@ -286,8 +286,7 @@ def sorted_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def risk_history_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mutations between batches of one load count, too."""
-    batches = number_batches(_sorted_loads(spark, sf_dir), BATCH_SIZE, "file_seq")
-    rows = batches.withColumn("epoch", F.col("file_seq") * 1_000_000 + F.col("batch_no"))
+    rows = assign_epochs(_sorted_loads(spark, sf_dir), BATCH_SIZE, "file_seq")
     needed = rows.select(*FACT_KEY, "payer_cnpj", "receiver_cnpj", "amount", "epoch")
     return _history(needed, fixtures.registry(spark, sf_dir), SETTINGS)
 
@@ -413,7 +412,10 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact(spark, fact)
 
 
-def _folder_load(spark: SparkSession, rows: DataFrame, known: DataFrame, one_job: bool = False):
+def _folder_load(
+    spark: SparkSession, rows: DataFrame, known: DataFrame, one_job: bool = False, failing: bool = False
+):
+    """Paths of the fact table and the audit trail of a folder load, which fails only if it is to."""
     fact, trail = new_folder(spark, "fact"), new_folder(spark, "audit")
     path = fixtures.deliver(rows, new_folder(spark, "delivered"))
     try:
@@ -421,7 +423,11 @@ def _folder_load(spark: SparkSession, rows: DataFrame, known: DataFrame, one_job
             spark, path, known, fact, trail, _quarantining(spark), unit="folder", one_job=one_job
         )
     except PySparkException:
-        pass  # the failure is in the audit trail
+        if not failing:
+            raise
+    else:
+        if failing:
+            raise AssertionError("a load with nulls was accepted")
     return fact, trail
 
 
@@ -451,7 +457,7 @@ def folder_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def failing_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second load holds nulls: it is recorded as failed and nothing follows it."""
     rows = _with_nulls(fixtures.transactions(spark, sf_dir))
-    _, trail = _folder_load(spark, rows, fixtures.registry(spark, sf_dir))
+    _, trail = _folder_load(spark, rows, fixtures.registry(spark, sf_dir), failing=True)
     return _trail(spark, trail)
 
 

@@ -243,7 +243,7 @@ ORACLES: dict[str, str] = {
     "risk_history_batched": derived(
         f"SELECT {MUTATED_FACT} FROM enriched",
         numbered=BY_ID,
-        **history("numbered", "(file_seq * 1000000 + rn // 1000)"),
+        **history("numbered", "(cast(file_seq as bigint) * 4294967296 + rn // 1000)"),
     ),
     "incremental_load": INCREMENTAL,
     "folder_load": LOADED,

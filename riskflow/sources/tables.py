@@ -2,7 +2,8 @@
 
 Results that are read more than once, or that must not change when an executor is
 lost, are written to the shared folder the cluster names in ``spark.checkpoint.dir``
-and read back. Where a session names none (tests, a laptop) a temporary folder is used.
+and read back. Where a session names none, the checkpoint folder of the context is used; a
+local master without either gets a temporary folder, any other one an error.
 """
 
 from __future__ import annotations
@@ -21,6 +22,12 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    context = spark.sparkContext
+    folder = context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     if not _LOCAL_FALLBACK:
         _LOCAL_FALLBACK.append(tempfile.mkdtemp(prefix="riskflow-"))
     return _LOCAL_FALLBACK[0]
