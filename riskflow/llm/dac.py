@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskflow.llm.common import blocks_of, table, texts
-from riskflow.llm.tokens import Encoder, path
+from riskflow.llm.common import blocks_of, small, table, texts
+from riskflow.llm.tokens import encoder, path
 from riskflow.sources.tables import written
 
 VOCABULARY = "word_bpe_49k.json"
@@ -120,10 +120,10 @@ def write(docs: DataFrame, file: str, end: int = END) -> DataFrame:
     """Tokenize and write; returns the table of files: ``part, number, ids, data``."""
     docs = texts(docs)
     ranges = blocks_of(docs, RANGE_CHARS)
-    ordered = docs.repartitionByRange(ranges, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = docs.repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def files(parts):
-        encoder, last = Encoder(file), end.to_bytes(4, "little")
+        encode_texts, last = encoder(file).batch, end.to_bytes(4, "little")
         part, number, doc_ids, ids, held = TaskContext.get().partitionId(), 0, [], [], 0
 
         def row():
@@ -133,9 +133,10 @@ def write(docs: DataFrame, file: str, end: int = END) -> DataFrame:
             })
 
         for batch in parts:
-            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            found = encode_texts(batch.column("text").to_pylist())
+            for i, text_ids in zip(batch.column("doc_id").to_pylist(), found):
                 doc_ids.append(i)
-                ids.append(encoder(text) + last)
+                ids.append(text_ids + last)
                 held += len(ids[-1]) // 4
                 if held >= FILE_IDS:
                     yield row()
@@ -169,7 +170,7 @@ def read(files: DataFrame) -> DataFrame:
                     "ids": pa.array(ids, pa.binary()),
                 })
 
-    placed = files.join(manifest(files), ["part", "number"]).select("data", "before")
+    placed = files.join(small(manifest(files)), ["part", "number"]).select("data", "before")
     return placed.mapInArrow(documents, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 

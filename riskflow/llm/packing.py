@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskflow.llm.common import table, texts
-from riskflow.llm.tokens import Encoder, path
+from riskflow.llm.tokens import encoder, path
 from riskflow.sources.tables import written
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -146,12 +146,13 @@ def pieces(docs: DataFrame, file: str, end: int = END, window: int = WINDOW, wit
     """Written table of all pieces, numbered by length within their input partition."""
 
     def cut(parts):
-        encoder, last, part = Encoder(file), end.to_bytes(4, "little"), TaskContext.get().partitionId()
+        encode_texts, last, part = encoder(file).batch, end.to_bytes(4, "little"), TaskContext.get().partitionId()
         seen = [0] * (window + 1)
         for batch in parts:
             rows = []
-            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = encoder(text) + last
+            found = encode_texts(batch.column("text").to_pylist())
+            for i, text_ids in zip(batch.column("doc_id").to_pylist(), found):
+                ids = text_ids + last
                 total = len(ids) // 4
                 for a in range(0, total, window):
                     piece = ids[4 * a: 4 * (a + window)]

@@ -1,22 +1,31 @@
-"""Token ids of whole texts from a public tokenizer file, with repeated pieces remembered.
+"""Token ids of whole texts from a public tokenizer file, with repeated segments remembered.
 
 The ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``. Both vocabularies
-split a text before they merge, so a text can be cut at single spaces (all white space
-for the one that drops it), and Latin words can be parted from the punctuation behind them,
-without changing an id. Pieces of any other shape go to the tokenizer as they are.
+split a text before they merge, so a text can be cut where such a split is certain, and
+the ids of the segments in a row are the ids of the text: before a single space (the one that
+drops white space: at white space), around a single line break, and before a full
+stop or comma between a Latin letter and white space. A text in which marks or white
+space come in any other order is cut at plain single spaces only.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
+import types
+from array import array
+
+#: Remembered segments of a process; beyond that it starts anew. Bounds the memory.
+MOST_SEGMENTS = 500_000
+#: Characters of the texts that are cut at a time.
+GROUP_CHARS = 1_000_000
 
 _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
-_MARKS = r"!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"
-_SHAPE = re.compile(rf" ?[{_LATIN}]+[{_MARKS}]*(?:\n[{_LATIN}]+[{_MARKS}]*)*")
-_PARTS = re.compile(rf" ?[{_LATIN}]+|[{_MARKS}]+|\n")
-_ODD = re.compile(r"^ |\s | \s| $")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+_MARK = rf"[^{_LATIN}][.,]|^[.,]"
+_ODD_DROPPING = re.compile(rf"{_MARK}|[.,]\S|[\x1c-\x1f]")
+_ODD = re.compile(rf"{_MARK}|[.,][^ \n]|^\s|\s\s|\s$|[\x00-\x09\x0b-\x1f\x7f-\xa0 -　]")
+_PLAIN_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
 
 def path(name: str) -> str:
@@ -26,59 +35,69 @@ def path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class _Parts(dict):
-    """Ids of words and of runs of marks, by the tokenizer."""
-
-    LIMIT = 300_000
-
-    def __init__(self, tokenizer):
-        self._encode = tokenizer.encode
-
-    def __missing__(self, part: str) -> bytes:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        ids = self._encode(part, add_special_tokens=False).ids
-        value = self[part] = b"".join(i.to_bytes(4, "little") for i in ids)
-        return value
-
-
-class _Pieces(dict):
-    """Ids of pieces of text, each with ``lead`` before it."""
-
-    LIMIT = 300_000
+def _segments_dropping(text: str) -> list[str]:
+    if _ODD_DROPPING.search(text):
+        return [word.decode() for word in text.encode().split()]
+    return text.replace(".", " .").replace(",", " ,").split()
 
-    def __init__(self, parts: _Parts, lead: str):
-        self._parts, self._lead = parts, lead
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        text = self._lead + piece
-        if _SHAPE.fullmatch(text):
-            value = b"".join(map(self._parts.__getitem__, _PARTS.findall(text)))
-        else:
-            value = self._parts[text]
-        self[piece] = value
-        return value
+def _segments(text: str) -> list[str]:
+    if _ODD.search(text):
+        return _PLAIN_SPACE.split(text)
+    return (
+        text.replace(" ", "\x00 ").replace(".", "\x00.").replace(",", "\x00,").replace("\n", "\x00\n\x00").split("\x00")
+    )
 
 
 class Encoder:
-    """Ids of a text as little-endian unsigned 32-bit integers."""
+    """Ids of texts as little-endian unsigned 32-bit integers."""
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(file)
-        kind = tokenizer.pre_tokenizer.__class__.__name__
-        self._parts = _Parts(tokenizer)
-        self._drops_space = kind == "Sequence"
-        self._first, self._next = _Pieces(self._parts, ""), _Pieces(self._parts, " ")
+        self._encode = tokenizer.encode_batch_fast
+        drops_space = type(tokenizer.pre_tokenizer).__name__ == "Sequence"
+        self._cut = _segments_dropping if drops_space else _segments
+        self._known: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
-        if self._drops_space:
-            return b"".join(map(self._first.__getitem__, map(bytes.decode, text.encode().split())))
-        if not text:
-            return b""
-        pieces = _CUT.split(text) if _ODD.search(text) else text.split(" ")
-        return self._first[pieces[0]] + b"".join(map(self._next.__getitem__, pieces[1:]))
+        return self.batch([text])[0]
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        out, group, chars = [], [], 0
+        for text in texts:
+            group.append(text)
+            chars += len(text)
+            if chars >= GROUP_CHARS:
+                out += self._group(group)
+                group, chars = [], 0
+        return out + self._group(group)
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        """What is new in some texts goes to the tokenizer at once."""
+        cut = [self._cut(text) for text in texts]
+        kinds = set().union(*cut)
+        new = kinds.difference(self._known)
+        if len(self._known) + len(new) > MOST_SEGMENTS:
+            self._known.clear()
+            new = kinds
+        new = list(new)
+        for begin in range(0, len(new), 4096):
+            some = new[begin: begin + 4096]
+            self._known.update(
+                (segment, array("I", found.ids).tobytes())
+                for segment, found in zip(some, self._encode(some, add_special_tokens=False))
+            )
+        ids = self._known.__getitem__
+        return [b"".join(map(ids, segments)) for segments in cut]
+
+
+def encoder(file: str) -> Encoder:
+    """The encoder of this process, so that tasks of one worker share what it remembers."""
+    held = sys.modules.setdefault("_riskflow_encoders", types.ModuleType("_riskflow_encoders")).__dict__
+    if file not in held:
+        held[file] = Encoder(file)
+    return held[file]
