@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskflow.functions.fingerprint import canonical_uuid, payload_hash, strip_prefix
 from riskflow.schemas import FACT, FACT_KEY, FACT_TABLE
-from riskflow.sources.tables import read_or_empty
+from riskflow.sources.tables import make_folder, subfolders
+
+_LOAD = "load_seq="
+#: Written by Spark as the last step of a job: a load without it was broken at commit.
+_LANDED = "_SUCCESS"
+#: Below the fact table, one folder per load of a stream: owner, micro-batch, number.
+_STREAMS = "_streams"
 
 
 def fingerprinted(transactions: DataFrame, amount_style: str = "shortest") -> DataFrame:
@@ -40,9 +46,44 @@ def new_rows(rows: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def read_fact(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """The fact table; ``before`` leaves out that load and later ones by partition."""
-    fact = read_or_empty(spark, path, FACT_TABLE)
-    return fact if before is None else fact.where(F.col("load_seq") < before)
+    """The landed loads of the fact table; ``before`` leaves out that load and later ones.
+
+    A load that was broken while it was written has no commit mark and is not read.
+    """
+    landed = _numbers(subfolders(spark, path, holding=_LANDED))
+    loads = [f"{path}/{_LOAD}{n}" for n in landed if before is None or n < before]
+    if not loads:
+        return spark.createDataFrame([], FACT_TABLE)
+    return spark.read.schema(FACT_TABLE).option("basePath", path).parquet(*loads)
+
+
+def _numbers(folders: list[str]) -> list[int]:
+    return sorted(int(name.removeprefix(_LOAD)) for name in folders if name.startswith(_LOAD))
+
+
+def _streamed(spark: SparkSession, path: str) -> dict[tuple[str, int], int]:
+    """Load number by owner and micro-batch."""
+    parts = (name.rsplit(".", 2) for name in subfolders(spark, f"{path}/{_STREAMS}"))
+    return {(owner, int(micro_batch)): int(number) for owner, micro_batch, number in parts}
+
+
+def next_load_seq(spark: SparkSession, path: str) -> int:
+    """A number above those of all loads, begun ones and those given to streams included."""
+    begun = _numbers(subfolders(spark, path))
+    return 1 + max([*begun, *_streamed(spark, path).values()], default=-1)
+
+
+def stream_load_seq(spark: SparkSession, path: str, owner: str, micro_batch: int) -> int:
+    """Number of the load that a micro-batch writes: the same one when it is run again.
+
+    It is noted next to the loads before it is used, so no other writer is given it.
+    """
+    known = _streamed(spark, path).get((owner, micro_batch))
+    if known is not None:
+        return known
+    number = next_load_seq(spark, path)
+    make_folder(spark, f"{path}/{_STREAMS}/{owner}.{micro_batch}.{number}")
+    return number
 
 
 def write_load(fact_rows: DataFrame, path: str, load_seq: int) -> None:

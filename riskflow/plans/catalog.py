@@ -472,15 +472,20 @@ def load_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loads arrive one by one and a stream picks each up as one micro-batch."""
+def _stream_after(spark: SparkSession, sf_dir: str, batch_loads: int) -> DataFrame:
+    """The first loads by a folder load, each later one as a micro-batch of a stream."""
     rows = fixtures.transactions(spark, sf_dir)
     inbox, fact, trail, checkpoint = (
         new_folder(spark, name) for name in ("inbox", "fact", "audit", "stream")
     )
     known = fixtures.registry(spark, sf_dir)
     settings = _quarantining(spark)
-    for load in range(fixtures.LOADS):
+    if batch_loads:
+        first = fixtures.deliver(
+            rows.where(F.col("file_seq") < batch_loads), new_folder(spark, "delivered")
+        )
+        load_folder(spark, first, known, fact, trail, settings, unit="folder")
+    for load in range(batch_loads, fixtures.LOADS):
         fixtures.deliver(rows.where(F.col("file_seq") == load), f"{inbox}/arrival={load}")
         ingest.start(
             spark, inbox, known, fact, trail, checkpoint, settings,
@@ -489,11 +494,22 @@ def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact(spark, fact)
 
 
+def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads arrive one by one and a stream picks each up as one micro-batch."""
+    return _stream_after(spark, sf_dir, 0)
+
+
+def batch_then_stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder load and a stream share one fact table."""
+    return _stream_after(spark, sf_dir, 3)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         risk_scored, risk_history, risk_history_split, risk_history_batched, incremental_load,
         folder_load, folder_load_in_one_job, folder_load_audit, failing_load_audit, stream_load,
+        batch_then_stream_load,
         strip_and_hash, payload_fingerprint, plain_fingerprint, company_age, cache_expiries,
         payer_roles, receiver_roles, enriched, distinct_companies, cache_split, cache_stats,
         cache_refresh, registry_merged, registry_parsed, registry_rejected, registry_fetched,

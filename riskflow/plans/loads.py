@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskflow.functions.rules import Rule, load_rules
 from riskflow.operators import audit
 from riskflow.operators.enrich import distinct_companies, enrich, with_company_age
-from riskflow.operators.landing import fingerprinted, read_fact, to_fact, write_load
+from riskflow.operators.landing import fingerprinted, next_load_seq, read_fact, to_fact, write_load
 from riskflow.operators.mutation import keys_of_interest, resolve_history
 from riskflow.operators.quality import require_landable, require_no_nulls, split_landable
 from riskflow.operators.scoring import score_history
@@ -91,8 +91,10 @@ def load_rows(
     """
     spark = transactions.sparkSession
     total_rows = transactions.count()
-    companies = registry(distinct_companies(transactions)) if callable(registry) else registry
-    rows = payload(with_epochs(require_no_nulls(transactions, "file"), settings), settings)
+    sound = require_no_nulls(transactions, "file")
+    # Nothing is looked up for a load that is going to be rejected.
+    companies = registry(distinct_companies(sound)) if callable(registry) else registry
+    rows = payload(with_epochs(sound, settings), settings)
     # Holds for every id; a comparison lets Spark filter the stored keys at run time.
     with_id = transactions.where(F.col("transaction_id") >= "")
     stored = keys_of_interest(
@@ -146,11 +148,6 @@ def audited_load(
     return total
 
 
-def next_load_seq(spark: SparkSession, fact_path: str) -> int:
-    last = read_fact(spark, fact_path).agg(F.max("load_seq")).first()[0]
-    return 0 if last is None else last + 1
-
-
 def load_folder(
     spark: SparkSession,
     input_path: str,

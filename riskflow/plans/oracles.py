@@ -249,6 +249,7 @@ ORACLES: dict[str, str] = {
     "folder_load": LOADED,
     "folder_load_in_one_job": derived(f"SELECT {MUTATED_FACT} FROM enriched", **LANDED),
     "stream_load": LOADED,
+    "batch_then_stream_load": LOADED,
     "folder_load_audit": derived(
         """SELECT 'load=000' || n.file_seq AS file, 'COMPLETED' AS status, total_rows,
              coalesce(inserted_rows, 0) AS inserted_rows

@@ -45,6 +45,29 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """File system of a path, the path, and a function for paths below it."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system, root, lambda name: jvm.org.apache.hadoop.fs.Path(root, name)
+
+
+def subfolders(spark: SparkSession, path: str, holding: str | None = None) -> list[str]:
+    """Names of the folders in a folder (that hold a file ``holding``); none if it is absent."""
+    system, root, below = _files(spark, path)
+    if not system.exists(root):
+        return []
+    names = [found.getPath().getName() for found in system.listStatus(root) if found.isDirectory()]
+    return [n for n in names if holding is None or system.exists(below(f"{n}/{holding}"))]
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, root, _ = _files(spark, path)
+    if not system.mkdirs(root):
+        raise OSError(f"cannot create {path}")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A Parquet table, or an empty frame of the same schema before its first write."""
     try:

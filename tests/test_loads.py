@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from builders import PAYER, SETTINGS, payment, payments, some_id, sound_registry
 from riskflow.operators import audit
-from riskflow.operators.landing import read_fact
+from riskflow.operators.landing import next_load_seq, read_fact, stream_load_seq
 from riskflow.operators.quality import duplicate_keys
-from riskflow.plans.loads import load_folder, load_rows, next_load_seq
+from riskflow.plans.loads import load_folder, load_rows
 from riskflow.schemas import AUDIT_EVENTS, FACT, FACT_TABLE
 from riskflow.sources.registry import from_snapshot, refresh_cache
 from riskflow.sources.tables import new_folder, read_or_empty, shared_root
@@ -224,6 +224,63 @@ def test_a_failing_load_fails_the_stream_and_can_be_repeated(spark, place):
     assert spark.read.parquet(place.rejects).count() == 1
 
 
+def test_streams_and_batches_share_a_fact_table(spark, place):
+    def stream(inbox, checkpoint):
+        ingest.start(
+            spark, inbox, sound_registry(spark), place.fact, place.trail, checkpoint,
+            SETTINGS, unit="folder", max_files=None, once=True,
+        ).awaitTermination()
+
+    deliver(spark, place, "a", payment(1))
+    run(spark, place)
+    other = f"{place.inbox}-stream"
+    payments(spark, payment(2)).coalesce(1).write.parquet(f"{other}/b")
+    stream(other, place.checkpoint)
+    payments(spark, payment(3)).coalesce(1).write.parquet(f"{place.inbox}-late/c")
+    load_folder(
+        spark, f"{place.inbox}-late", sound_registry(spark), place.fact, place.trail, SETTINGS, unit="folder"
+    )
+    payments(spark, payment(1, amount=200.0)).coalesce(1).write.parquet(f"{other}/d")
+    stream(other, place.checkpoint)
+    stream(other, f"{place.checkpoint}-second")
+    assert facts(spark, place) == {
+        (some_id(1), "100.00"): (0, 0), (some_id(2), "100.00"): (1, 0),
+        (some_id(3), "100.00"): (2, 0), (some_id(1), "200.00"): (3, 75),
+    }
+
+
+def test_a_micro_batch_keeps_its_number(spark, place):
+    assert stream_load_seq(spark, place.fact, "x", 0) == 0
+    assert next_load_seq(spark, place.fact) == 1
+    assert stream_load_seq(spark, place.fact, "y", 0) == 1
+    assert stream_load_seq(spark, place.fact, "x", 0) == 0
+    assert stream_load_seq(spark, place.fact, "x", 1) == 2
+
+
+def test_a_load_broken_at_commit_is_not_read(spark, place):
+    import os
+
+    three_loads(spark, place)
+    run(spark, place)
+    os.remove(f"{place.fact}/load_seq=2/_SUCCESS")
+    left = facts(spark, place)
+    assert left == {key: value for key, value in LANDED.items() if value[0] < 2}
+    assert next_load_seq(spark, place.fact) == 3
+
+
+def test_no_lookup_for_a_rejected_load(spark, place):
+    asked = []
+
+    def lookup(companies):
+        asked.extend(companies.collect())
+        return sound_registry(spark)
+
+    deliver(spark, place, "a", payment(1, payer_cnpj=None))
+    with pytest.raises(Exception):
+        run(spark, place, known=lookup)
+    assert not asked
+
+
 def test_running_settings_follow_the_clock():
     current = ingest.running_now(SETTINGS)()
     assert abs(datetime.now(timezone.utc) - current.run_time) < timedelta(minutes=1)
