@@ -67,6 +67,10 @@ def repeated_runs(docs: DataFrame, later: DataFrame, min_chars: int = MIN_CHARS)
         right = again.select(
             "d", "t", (F.col("i") - width).alias("i"), F.col("name").alias("name_2"), F.col("chars").alias("chars_2")
         )
+        if width == 1:
+            # Repeated rows are one document: without this they would multiply in every round.
+            # The columns are those of the join, so no shuffle is added.
+            left, right = (side.dropDuplicates(["d", "t", "i"]) for side in (left, right))
         level = left.join(right, ["d", "t", "i"]).select(
             "d", "t", "i", F.xxhash64("name", "name_2").alias("name"), (F.col("chars") + F.col("chars_2")).alias("chars")
         )

@@ -146,6 +146,15 @@ def test_line_runs(spark, docs, rows, nothing):
     assert lines.without_repeats(nothing).count() == 0
 
 
+def test_repeated_rows_do_not_multiply(spark):
+    block = "\n".join(f"line number {k} of a block" for k in range(16))
+    frame = spark.createDataFrame([(1, f"{block}\n{block}")] * 20, "doc_id long, text string")
+    later = lines.copies(frame)
+    runs = lines.repeated_runs(frame, later).select("begin", "end").collect()
+    assert [tuple(r) for r in runs] == [(16, 32)]
+    assert {r.text for r in lines.without_repeats(frame).collect()} == {block}
+
+
 def test_language_model(docs, rows, nothing):
     counts = Counter()
     for r in rows:
