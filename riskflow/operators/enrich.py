@@ -7,13 +7,20 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from riskflow.functions.dates import company_age
-from riskflow.operators.skew import BROADCAST_ROWS, HOT_ROWS, attach, fits, hot_part
+from riskflow.operators.skew import BROADCAST_ROWS, HOT_ROWS, attach, fits, hot_part, hottest
 from riskflow.sources.tables import written
 
 
 def with_company_age(registry: DataFrame, as_of: date) -> DataFrame:
-    """Replace the start date by the age, and hold capital in single precision."""
-    return registry.select(
+    """Replace the start date by the age, hold capital in single precision, one row per company.
+
+    Of several rows of a company the one with the latest start date counts, then the
+    greatest status and capital, so a lookup never multiplies a payment. Copies collapse
+    before the shuffle.
+    """
+    latest = F.max(F.struct("activity_start_date", "status", "capital_stock")).alias("_latest")
+    single = registry.groupBy("cnpj").agg(latest).select("cnpj", "_latest.*")
+    return single.select(
         "cnpj",
         "status",
         company_age(F.col("activity_start_date"), F.lit(as_of)).alias("company_age"),
@@ -81,11 +88,9 @@ def _hot_companies(transactions: DataFrame, aged: DataFrame, hot_rows: int) -> D
             F.struct(F.lit("receiver").alias("role"), F.col("receiver_cnpj").alias("cnpj")),
         )
     ).alias("side")
-    counts = transactions.select(per_role).groupBy("side").count()
-    hot = written(
-        counts.where(F.col("count") > hot_rows).select(F.col("side.cnpj").alias("cnpj")).distinct(),
-        "hot-companies",
-    )
+    counts = transactions.select(per_role).groupBy("side").count().where(F.col("count") > hot_rows)
+    per_company = counts.groupBy(F.col("side.cnpj").alias("cnpj")).agg(F.max("count").alias("count"))
+    hot = hottest(written(per_company, "hot-companies"), hot_rows).select("cnpj")
     return written(hot_part(aged, hot, "cnpj"), "hot-registry")
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -67,11 +67,6 @@ def _constraints() -> dict[str, Column]:
     }
 
 
-def lands() -> Column:
-    """Whether the fact table takes a row. A plain conjunction, never null."""
-    return reduce(and_, (F.coalesce(held, F.lit(False)) for held in _constraints().values()))
-
-
 def landing_violations() -> Column:
     """Names of the fact columns whose value the fact table would refuse, as an array."""
     return F.array_compact(
@@ -84,21 +79,33 @@ def landing_violations() -> Column:
     )
 
 
+def with_violations(rows: DataFrame) -> DataFrame:
+    """Rows with their ``violations``, decided once.
+
+    The array goes through ``explode`` as the one element of another: what is asked of it
+    later is not pushed below a generator, which would copy all checks into each filter.
+    """
+    return rows.select("*", F.explode(F.array(landing_violations())).alias("violations"))
+
+
 def require_landable(rows: DataFrame) -> DataFrame:
     """Fail the job on the first row the fact table would refuse."""
     message = F.concat(
         F.coalesce("transaction_id", F.lit("?")),
         F.lit(": not landable because of "),
-        F.array_join(landing_violations(), ", "),
-    )
-    return rows.where(
-        F.when(lands(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+        F.array_join("violations", ", "),
     )
+    sound = F.when(F.size("violations") == 0, F.lit(True))
+    return with_violations(rows).where(
+        sound.otherwise(F.raise_error(message).cast("boolean"))
+    ).drop("violations")
 
 
 def split_landable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows that land, and the others with their ``violations``."""
-    return rows.where(lands()), rows.where(~lands()).withColumn("violations", landing_violations())
+    marked = with_violations(rows)
+    found = F.size("violations")
+    return marked.where(found == 0).drop("violations"), marked.where(found > 0)
 
 
 def duplicate_keys(fact: DataFrame) -> DataFrame:

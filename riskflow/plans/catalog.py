@@ -147,12 +147,32 @@ def receiver_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(companies.receiver_view(_aged(spark, sf_dir)))
 
 
+ENRICHED_COLUMNS = (
+    "transaction_id", "payload_hash", "file_seq", "payer_cnpj", "receiver_cnpj",
+    "payer_status", "payer_company_age", "payer_capital_stock",
+    "receiver_status", "receiver_company_age",
+)
+
+
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(_enriched(spark, sf_dir).select(
-        "transaction_id", "payload_hash", "file_seq", "payer_cnpj", "receiver_cnpj",
-        "payer_status", "payer_company_age", "payer_capital_stock",
-        "receiver_status", "receiver_company_age",
-    ))
+    return shown(_enriched(spark, sf_dir).select(*ENRICHED_COLUMNS))
+
+
+def enriched_with_repeated_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry that lists companies again, as they were or changed, multiplies no payment."""
+    known = fixtures.registry(spark, sf_dir)
+    number = F.substring("cnpj", 2, 13).cast("long")
+
+    def changed(some: DataFrame, start: str) -> DataFrame:
+        return some.withColumns({"status": F.lit("NULA"), "activity_start_date": F.lit(start)})
+
+    repeated = (
+        known.unionByName(known.where(number % 2 == 0))
+        .unionByName(changed(known.where(number % 3 == 0), "1990-01-01"))
+        .unionByName(changed(known.where(number % 5 == 1), "2023-12-31"))
+    )
+    aged = companies.with_company_age(repeated, fixtures.AS_OF)
+    return shown(companies.enrich(_keyed(spark, sf_dir), aged).select(*ENRICHED_COLUMNS))
 
 
 def distinct_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,7 +272,7 @@ def risk_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def risk_history_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same when nothing fits a broadcast and keys with two rows are hot already."""
+    """The same when nothing fits a broadcast and keys with two rows are hot, up to the most that may be."""
     tight = replace(SETTINGS, broadcast_rows=0, hot_rows=1)
     rows = payload(with_epochs(fixtures.transactions(spark, sf_dir), tight), tight)
     return _history(rows, fixtures.registry(spark, sf_dir), tight)
@@ -511,7 +531,7 @@ QUERIES: dict[str, Query] = {
         folder_load, folder_load_in_one_job, folder_load_audit, failing_load_audit, stream_load,
         batch_then_stream_load,
         strip_and_hash, payload_fingerprint, plain_fingerprint, company_age, cache_expiries,
-        payer_roles, receiver_roles, enriched, distinct_companies, cache_split, cache_stats,
+        payer_roles, receiver_roles, enriched, enriched_with_repeated_companies, distinct_companies, cache_split, cache_stats,
         cache_refresh, registry_merged, registry_parsed, registry_rejected, registry_fetched,
         rule_columns, all_operators, mutation_check, unseen_rows, sorted_rows, sorted_batches,
         null_report, null_totals, null_gate, landing_rejects, landing_accepted, key_uniqueness,

@@ -39,6 +39,19 @@ SELECT concat('2', lpad(cast(s_suppkey as string),13,'0')), s_suppkey,
 FROM supplier
 """
 
+# Some companies again, as they were or changed; of each the latest, then greatest row counts.
+REPEATED_REG = f"""
+SELECT cnpj, number, status, activity_start_date, capital_stock FROM (
+  SELECT *, row_number() OVER (PARTITION BY cnpj ORDER BY activity_start_date DESC, status DESC, capital_stock DESC) AS nth
+  FROM (
+    {REG}
+    UNION ALL SELECT * FROM ({REG}) WHERE number % 2 = 0
+    UNION ALL SELECT cnpj, number, 'NULA', '1990-01-01', capital_stock FROM ({REG}) WHERE number % 3 = 0
+    UNION ALL SELECT cnpj, number, 'NULA', '2023-12-31', capital_stock FROM ({REG}) WHERE number % 5 = 1
+  )
+) WHERE nth = 1
+"""
+
 KEYED_FROM = """
 SELECT t.* EXCLUDE (transaction_id), substr(transaction_id, 5) AS transaction_id,
   substr(sha256(substr(transaction_id, 5) || '|' || payer_cnpj || '|' || receiver_cnpj || '|' ||
@@ -217,6 +230,10 @@ VIOLATIONS = """concat_ws(',',
   CASE WHEN receiver_company_age IS NULL THEN 'receiver_company_age' END,
   CASE WHEN payer_capital_stock IS NULL THEN 'payer_capital_stock' END)"""
 ENRICHED = ENRICHED_FROM.format(source="keyed")
+ENRICHED_COLUMNS = """SELECT transaction_id, payload_hash, file_seq, payer_cnpj, receiver_cnpj, payer_status,
+  cast(payer_company_age as double) AS payer_company_age,
+  cast(payer_capital_stock as double) AS payer_capital_stock, receiver_status,
+  cast(receiver_company_age as double) AS receiver_company_age FROM enriched"""
 
 ARRIVING = {
     "stored": "SELECT * FROM keyed WHERE file_seq < 3",
@@ -295,13 +312,8 @@ ORACLES: dict[str, str] = {
         """SELECT cnpj AS receiver_cnpj, status AS receiver_status,
              cast(company_age as double) AS receiver_company_age FROM aged"""
     ),
-    "enriched": derived(
-        """SELECT transaction_id, payload_hash, file_seq, payer_cnpj, receiver_cnpj, payer_status,
-             cast(payer_company_age as double) AS payer_company_age,
-             cast(payer_capital_stock as double) AS payer_capital_stock, receiver_status,
-             cast(receiver_company_age as double) AS receiver_company_age FROM enriched""",
-        enriched=ENRICHED,
-    ),
+    "enriched": derived(ENRICHED_COLUMNS, enriched=ENRICHED),
+    "enriched_with_repeated_companies": derived(ENRICHED_COLUMNS, reg=REPEATED_REG, enriched=ENRICHED),
     "distinct_companies": derived(COMPANIES),
     "cache_split": derived(MARKED, **CACHE),
     "cache_stats": derived(

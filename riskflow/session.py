@@ -9,11 +9,6 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Drop stored keys that no row of a load can match before they are shuffled.
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "100GB",
-    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "50000000",
-    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(1 << 29),
     # Malformed dates and overflowing decimals fail a load instead of turning null.
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskflow.functions.dates import cache_expiry
 from riskflow.schemas import REGISTRY, REGISTRY_CACHE, REGISTRY_JSON_FIELDS
-from riskflow.sources.tables import read_or_empty
+from riskflow.sources.tables import read_or_empty, written
 
 
 def parse_registry_json(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -125,19 +125,19 @@ def refresh_cache(
     find: Callable[[DataFrame], DataFrame],
     now: Column,
 ) -> DataFrame:
-    """Registry rows for all ``companies``, looking up and caching the missing ones.
+    """Registry rows of the ``companies``, looking up and caching the missing ones.
 
     ``find`` maps the missing companies to registry rows: a join with a snapshot, or
     :func:`fetch_missing`. What it finds is appended to the cache first and everything is
     read from there, so a lookup is not repeated when a task is. One writer at a time.
     """
     spark = companies.sparkSession
+    asked = written(companies.select("cnpj"), "asked-companies")
     live = live_cache(read_cache(spark, cache_path), now)
-    _, misses = split_cache(companies, live)
-    if misses.isEmpty():
-        return live
-    fresh_entries(find(misses), live, now).write.mode("append").parquet(cache_path)
-    return live_cache(read_cache(spark, cache_path), now)
+    misses = written(split_cache(asked, live)[1], "missing-companies")
+    if not misses.isEmpty():
+        fresh_entries(find(misses), live, now).write.mode("append").parquet(cache_path)
+    return split_cache(asked, live_cache(read_cache(spark, cache_path), now))[0]
 
 
 def from_snapshot(snapshot: DataFrame) -> Callable[[DataFrame], DataFrame]:

@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from riskflow.operators.quality import (
     split_landable,
 )
 from riskflow.operators.scoring import score, score_history
+from riskflow.operators.skew import fits, hottest
 from riskflow.schemas import FINAL_COLUMNS, TRANSACTIONS
 
 AS_OF = SETTINGS.as_of
@@ -166,6 +169,41 @@ def test_landing_constraints(spark, changes, named):
         assert require_landable(rows).count() == 1
 
 
+def test_landing_checks_are_decided_once(spark):
+    rows = scored(spark, payments(spark, payment(1)), sound_registry(spark))
+    good, _ = split_landable(rows)
+    plan = good.select("transaction_id", "amount")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") <= 4
+
+
+def test_a_company_listed_twice_counts_once(spark):
+    registry = spark.createDataFrame(
+        [("1", "ATIVO", "2020-01-01", 5.0), ("1", "ATIVO", "2020-01-01", 5.0), ("1", "BAIXADA", "2021-01-01", 7.0),
+         ("2", None, None, None), (None, "ATIVO", "2020-01-01", 1.0)],
+        "cnpj string, status string, activity_start_date string, capital_stock float",
+    )
+    found = {r.cnpj: (r.status, r.capital_stock) for r in with_company_age(registry, date(2024, 1, 1)).collect()}
+    assert found == {"1": ("BAIXADA", 7.0), "2": (None, None), None: ("ATIVO", 1.0)}
+    assert with_company_age(registry.limit(0), date(2024, 1, 1)).count() == 0
+
+
+def test_the_mark_of_hot_keys_rises_until_few_enough_are_hot(spark, folder):
+    counts = [(f"k{n}", n) for n in range(1, 101)]
+    spark.createDataFrame(counts, "key string, count long").write.parquet(folder("counts"))
+    written_counts = spark.read.parquet(folder("counts"))
+    assert hottest(written_counts, 90, most=10).count() == 10
+    hot = {r["count"] for r in hottest(written_counts, 1, most=40).collect()}
+    assert hot == set(range(64, 101))
+    assert hottest(written_counts, 1, most=10).count() == 0
+
+
+def test_fits_counts_rows_and_bytes(spark, monkeypatch):
+    rows = spark.createDataFrame([("a" * 100, 1), (None, 2)], "name string, n long")
+    assert fits(rows, 2) and not fits(rows, 1) and not fits(rows, 0) and fits(rows.limit(0), 1)
+    monkeypatch.setattr("riskflow.operators.skew.BROADCAST_BYTES", 100)
+    assert not fits(rows, 2)
+
+
 def test_duplicate_keys(spark):
     fact = spark.createDataFrame([("a", "h"), ("a", "h"), ("b", "h")], "transaction_id string, payload_hash string")
     assert [tuple(r) for r in duplicate_keys(fact).collect()] == [("a", "h", 2)]
