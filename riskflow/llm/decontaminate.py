@@ -54,20 +54,24 @@ def windows(rows: DataFrame, key: str, width: int = TEMPLATE) -> DataFrame:
     """``key, at, window, words, slots`` of every window: its place, the hash of its template,
     the number of its tokens and the values of its slots in a row, each up to ``\\x04``."""
     cut = rows.where(F.col(key).isNotNull() & F.col("text").isNotNull()).select(
-        F.col(key).cast("long").alias(key), marked(F.col("text")).alias("text")
-    ).select(
-        key, (F.instr("text", "\x04") > 0).alias("any"), F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)).alias("tokens")
-    ).where(F.size("tokens") > 0)
-    is_slot = lambda t: t < "\x04"
-    hashed = cut.withColumn("hashes", F.transform(  # slots by their mark alone
-        "tokens", lambda t: F.when(is_slot(t), F.xxhash64(F.substring(t, 1, 1))).otherwise(F.xxhash64(t))
-    ))
-    last = F.greatest(F.size("hashes") - (width - 1), F.lit(1))
-    found = F.transform(F.sequence(F.lit(1), last), lambda i: F.struct(
-        i.alias("at"), F.xxhash64(F.slice("hashes", i, width)).alias("window"),
-        F.when(F.col("any"), F.array_join(F.filter(F.slice("tokens", i, width), is_slot), "")).otherwise(F.lit("")).alias("slots"),
-    ))
-    return hashed.select(key, F.least(F.size("hashes"), F.lit(width)).alias("words"), F.inline(found))
+        F.col(key).cast("long").alias(key),
+        F.regexp_extract_all(marked(F.col("text")), F.lit(TOKEN), F.lit(0)).alias("tokens"),
+    )
+    # The tokens beside themselves, each time from one further on: a row per window without
+    # a lambda, so that all that follows is generated code and slots are joined where asked for.
+    # The outer form, as Spark puts a filter with a copy of all patterns below the other one.
+    last = F.greatest(F.size("tokens") - (width - 1), F.lit(1))
+    places = [f"t{k}" for k in range(1, width + 1)]
+    shifted = F.arrays_zip(*[F.slice("tokens", k, last).alias(name) for k, name in enumerate(places, 1)])
+    parts = [F.col("w")[name] for name in places]
+    slot = [t < "\x04" for t in parts]
+    return cut.select(key, F.posexplode_outer(shifted).alias("at", "w")).where(F.col("w").isNotNull()).select(
+        key,
+        (F.col("at") + 1).alias("at"),
+        F.xxhash64(*[F.when(s, F.substring(t, 1, 1)).otherwise(t) for s, t in zip(slot, parts)]).alias("window"),
+        sum((t.isNotNull().cast("int") for t in parts), F.lit(0)).alias("words"),
+        F.concat_ws("", *[F.when(s, t) for s, t in zip(slot, parts)]).alias("slots"),
+    )
 
 
 def item_windows(benchmark: DataFrame, literals: int = LITERALS) -> DataFrame:
