@@ -31,6 +31,19 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def row_key(docs: DataFrame) -> Column:
+    """What tells rows apart, in order: id (none last), hash of the text, hash of the other columns.
+
+    Only rows that are equal share a key (maps cannot be hashed and are left out of it).
+    """
+    rest = [F.col(f"`{f.name}`") for f in docs.schema if f.name not in ("doc_id", "text") and "map<" not in f.dataType.simpleString()]
+    doc_id = F.col("doc_id").cast("long")
+    return F.struct(
+        doc_id.isNull().alias("none"), F.coalesce(doc_id, F.lit(0)).alias("doc_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text"), F.xxhash64(F.col("text").isNull(), *rest).alias("rest"),
+    )
+
+
 def fold(doc_id: str, folds: int) -> Column:
     """CRC-32 of the id as text, modulo ``folds``."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % folds

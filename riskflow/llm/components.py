@@ -47,3 +47,14 @@ def roots(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return stars.select(F.col("u").alias("node"), "root").unionByName(
         stars.select(F.col("root").alias("node"), "root").distinct()
     )
+
+
+def survivors(keyed: DataFrame, nodes: DataFrame, linked: DataFrame) -> DataFrame:
+    """The row of ``keyed`` with the smallest ``_key`` of each component, without ``_key``.
+
+    ``nodes`` has the smallest ``_key`` of each ``node``, ``linked`` the ``root`` of linked nodes.
+    """
+    best = nodes.join(linked, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(
+        F.min("_key").alias("_key")
+    ).select("_key")
+    return keyed.join(best, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")

@@ -28,8 +28,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
-from riskflow.llm.common import table, texts
-from riskflow.llm.components import roots
+from riskflow.llm.common import row_key, table, texts
+from riskflow.llm.components import roots, survivors
 from riskflow.sources.tables import written
 
 RADIUS = 4
@@ -174,16 +174,12 @@ def hexadecimal(fp: str = "fp") -> Column:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that name their component; of repeated ids one row stays.
-
-    Rows without an id that are alone in their component stay too (one of each fingerprint).
-    """
-    found = near_duplicates(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_kept")
-    ).distinct()
-    stay = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    return stay.dropDuplicates(["doc_id"])
+    """One row of every component: the one with the smallest id, then text hash; no id comes last."""
+    keyed = docs.withColumn("_key", row_key(docs))
+    prints = written(
+        keyed.select("_key", fingerprints(F.coalesce("text", F.lit(""))).alias("fp")), "prints"
+    ).groupBy("fp").agg(F.min("_key").alias("_key"))
+    return survivors(keyed, prints.withColumnRenamed("fp", "node"), roots(links(prints.select("fp"))))
 
 
 def op3_simhash_components(spark, sf_dir: str) -> DataFrame:

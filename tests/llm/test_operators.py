@@ -79,6 +79,14 @@ def test_simhash_components(docs, rows, nothing):
     assert {r.doc_id for r in simhash.one_of_each(docs).collect()} == {i for i in least.values()}
 
 
+def test_one_row_of_each_component_stays(spark):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(40)) for c in "abc")
+    rows = [(None, one), (None, two), (None, two), (None, three), (7, three), (5, "x y z"), (5, "other words here")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in simhash.one_of_each(frame).collect())
+    assert got == Counter([(None, one), (None, two), (7, three), (5, "x y z"), (5, "other words here")])
+
+
 @pytest.mark.parametrize("bucket", [simhash.BUCKET, 3])
 def test_every_pair_within_the_radius_is_linked(spark, bucket):
     rnd = random.Random(5)
