@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from riskflow.llm import (
-    bottomk, dac, decontaminate, interpolation, language, lines, packing, quality, recompression, simhash, tokens,
+    bottomk, dac, decontaminate, interpolation, language, lines, nearcopies, packing, quality, recompression, simhash, tokens,
 )
 from riskflow.llm.components import roots
 
@@ -87,6 +87,37 @@ def test_one_row_of_each_component_stays(spark):
     assert got == Counter([(None, one), (None, two), (7, three), (5, "x y z"), (5, "other words here")])
 
 
+@pytest.mark.parametrize("bucket", [nearcopies.BUCKET, 3])
+def test_near_copies_of_the_pipeline(spark, bucket):
+    rnd = random.Random(6)
+    texts = []
+    for g in range(12):
+        words = [f"g{g}w{k}" for k in range(rnd.randrange(60, 200))]
+        for _ in range(6):
+            copy = list(words)
+            for k in rnd.sample(range(len(copy)), rnd.randrange(5)):
+                copy[k] = f"new{rnd.random()}"
+            texts.append(" ".join(copy))
+    texts += [texts[0].upper(), texts[0].replace(" ", "\n"), "", " ", None, "two words", "Two words"]
+    rows = [(i if i % 5 else None, t) for i, t in enumerate(texts)]
+    sets = [set(zip(*[w[k:] for k in range(5)])) or {tuple(w)} for w in ((t or "").lower().split() for t in texts)]
+    group, pairs = list(range(len(rows))), 0
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                pairs += 1
+                group = [group[j] if g == group[i] else g for g in group]
+    got = [tuple(r) for r in nearcopies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), bucket).collect()]
+    kept = sorted(group[rows.index(r)] for r in got)
+    assert kept == sorted(set(group)) and pairs > 50 and len(got) < len(rows) - 20
+    for r in got:
+        assert r[0] == min((rows[k][0] for k in range(len(rows)) if group[k] == group[rows.index(r)] and rows[k][0] is not None), default=None)
+
+
+def test_no_near_copies_of_nothing(docs, nothing):
+    assert nearcopies.one_of_each(nothing).count() == 0 and nearcopies.one_of_each(docs).columns == docs.columns
+
+
 @pytest.mark.parametrize("bucket", [simhash.BUCKET, 3])
 def test_every_pair_within_the_radius_is_linked(spark, bucket):
     rnd = random.Random(5)
