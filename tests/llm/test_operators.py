@@ -357,6 +357,23 @@ def test_contamination(spark, docs, nothing):
     assert decontaminate.contaminated(nothing, bench).count() == 0 and decontaminate.contaminated(data, bench.limit(0)).count() == 0
 
 
+def test_contamination_by_short_dense_and_unspaced_items(spark):
+    items = [
+        (1, "Name every prime"), (2, "12 km plus 7 km minus 3 km"), (3, "如何证明素数有无穷多个"), (4, "42"),
+        (None, "Which rivers of the north run dry in summer"), (5, "Add 3, 5, 7, 9 and 11 to 20 apples"),
+    ]
+    rows = [
+        (1, "She said name every prime and then more words came."), (2, "He ran 15 km plus 9 km minus 4 km that day."),
+        (3, "老师问如何证明素数有无穷多个然后走了"), (4, "There were 42 of them in the long list."), (5, "There were 43 of them in the long list."),
+        (6, "I asked which rivers of the north run dry in summer here."), (7, "12 km plus one"), (8, "Name every river of it"),
+        (9, "to 20 apples there is nothing that one could add at all"), (10, "Please add 4, 6, 8, 10 and 12 to 30 apples now"),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    data = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(data, bench).collect()}
+    assert found == {(1, 1), (2, 2), (3, 3), (4, 4), (6, None), (10, 5)}
+
+
 SMALL = "/root/testdata/sf0.001"
 
 
