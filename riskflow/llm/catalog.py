@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riskflow.llm import (
-    bottomk, dac, decontaminate, interpolation, language, lines, packing, quality, recompression, simhash,
+    bottomk, dac, decontaminate, interpolation, language, lines, merkle, packing, quality, recompression, simhash,
 )
 
 QUERIES = {
@@ -19,10 +19,12 @@ QUERIES = {
         packing.op8_nnls_packing,
         language.op9_language_mixture,
         recompression.op10_recompression_repeats,
+        merkle.op11_merkle_manifest,
     )
 }
 
 ORACLES = {
     "op4_line_runs": lines.ORACLE,
     "op10_recompression_repeats": recompression.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
 }
