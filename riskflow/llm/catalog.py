@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from riskflow.llm import (
-    bottomk, dac, decontaminate, interpolation, language, lines, merkle, packing, quality, recompression, simhash,
+    bottomk, collocations, dac, decontaminate, interpolation, language, lines, merkle, packing, quality,
+    recompression, simhash, suffixindex,
 )
 
 QUERIES = {
@@ -20,6 +21,8 @@ QUERIES = {
         language.op9_language_mixture,
         recompression.op10_recompression_repeats,
         merkle.op11_merkle_manifest,
+        suffixindex.op12_suffix_levels,
+        collocations.op13_automata_collocations,
     )
 }
 
@@ -27,4 +30,6 @@ ORACLES = {
     "op4_line_runs": lines.ORACLE,
     "op10_recompression_repeats": recompression.ORACLE,
     "op11_merkle_manifest": merkle.ORACLE,
+    "op12_suffix_levels": suffixindex.ORACLE,
+    "op13_automata_collocations": collocations.ORACLE,
 }

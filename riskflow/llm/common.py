@@ -136,3 +136,16 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 def binary(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 of a text column."""
     return column.cast(pa.binary()).to_pylist()
+
+
+def bitmap(hashes: DataFrame, size: int):
+    """A broadcast bitmap of ``2 ** size`` bits, whatever the rows, with the lowest ``size`` bits of all ``hash`` set."""
+    spot = F.col("hash").bitwiseAND((1 << size) - 1) + 1  # bitmap positions count from 1
+    rows = hashes.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits")
+    ).collect()  # at most 2 ** (size - 15) rows of 4 KB
+    bits = np.zeros(1 << (size - 3), np.uint8)
+    for r in rows:
+        begin = (r["bucket"] - 1) << 12
+        bits[begin: begin + (1 << 12)] = np.frombuffer(r["bits"], np.uint8)
+    return hashes.sparkSession.sparkContext.broadcast(bits)
