@@ -30,6 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskflow.llm.common import binary, bitmap, mix, small, table
@@ -40,8 +41,9 @@ CORE = 32
 BATCHES = 4
 #: Different runs of an anchor that are compared in one task.
 CROWD = 1000
-#: Bytes that are hashed at a time.
-SLICE = 4 << 20
+#: Bytes that are hashed at a time, and that are searched for equal runs before the shuffle.
+SLICE = 1 << 20
+GROUP = 8 << 20
 #: Bits of the filters that keep documents without work out of the shuffles. Bounds their size to 1 MB.
 FILTER_BITS = 23
 _LOWEST = -(1 << 63)
@@ -132,10 +134,22 @@ def _slices(texts: list[bytes], width: int, size: int):
         yield group
 
 
+def _groups(batches, size: int):
+    """Record batches in parts of about ``size`` bytes."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = 0
+        while begin < batch.num_rows:
+            before = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
 def _sorted_suffixes(width: int, core: int, size: int):
-    """Per record batch: the runs that are the first of their bytes there, and places of all others (``x`` null)."""
+    """Per group of documents: the runs that are the first of their bytes there, and places of all others (``x`` null)."""
     def build(batches):
-        for batch in batches:
+        for batch in _groups(batches, size * GROUP // SLICE):
             doc = batch.column("doc").to_numpy(zero_copy_only=False)
             tie = batch.column("tie").to_numpy(zero_copy_only=False)
             text = binary(batch.column("text"))
