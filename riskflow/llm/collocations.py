@@ -40,7 +40,7 @@ KEPT = 2000
 WORD_BITS = 24
 PAIR_BITS = 26
 #: Words that a task counts at a time.
-FLUSH = 3_000_000
+FLUSH = 2_000_000
 #: Bytes of Parquet input a prefix range.
 RANGE_BYTES = 16 << 20
 #: Shares of a language that are ranked before all of it is.
