@@ -40,9 +40,11 @@ UNITS = (
     "meters metres miles inches feet yards grams kilograms pounds ounces liters litres"
 ).split()
 
-# Marks around slots: \x01 number, \x02 name, \x03 unit, each up to \x04.
-NUMBER = r"([0-9]+(?:[.,:/][0-9]+)*)"
-NAME = r"([\p{L}0-9,;:)\x04] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)"
+# Marks around slots: \x01 number, \x02 name, \x03 unit, each up to \x04. The repeated groups are
+# possessive: Java matches those in a loop, and all others by recursion, which ends the task on a
+# text with thousands of names or numbers in a row. Nothing follows them, so they match the same.
+NUMBER = r"([0-9]+(?:[.,:/][0-9]+)*+)"
+NAME = r"([\p{L}0-9,;:)\x04] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*+)"
 UNIT = "(\\x01[^\\x04]*\\x04 ?)(" + "|".join(sorted((u.replace("/", "\\/") for u in UNITS), key=lambda u: (-len(u), u))) + r"|%|°|€|\$)([^\p{L}0-9]|$)"
 #: Letters of scripts that put no spaces between words: each is a word.
 UNSPACED = "".join(rf"\p{{Is{name}}}" for name in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))

@@ -374,6 +374,16 @@ def test_contamination_by_short_dense_and_unspaced_items(spark):
     assert found == {(1, 1), (2, 2), (3, 3), (4, 4), (6, None), (10, 5)}
 
 
+def test_long_runs_of_slots_do_not_end_the_task(spark):
+    item = "How many of the grey stones did Anna Berg carry over 12 hills in 3 days before the rain"
+    names, numbers = "seen " + "Anna Berg " * 50_000, "1.2:3/" * 50_000 + "4 " + "7 " * 50_000
+    rows = [(1, names + ". " + item), (2, numbers + ". " + item), (3, names), (4, numbers), (5, (names + numbers) * 2 + item)]
+    data = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.contaminated(data, bench).collect()} == {1, 2, 5}
+    assert sorted(r.doc_id for r in decontaminate.clean(data, bench).collect()) == [3, 4]
+
+
 SMALL = "/root/testdata/sf0.001"
 
 
