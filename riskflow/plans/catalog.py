@@ -17,7 +17,7 @@ from pyspark.sql.types import DateType, DecimalType, FloatType, TimestampType
 from riskflow.functions.dates import cache_expiry, seconds_to_expiry, time_ordered_id
 from riskflow.functions.fingerprint import canonical_uuid, payload_hash, strip_prefix
 from riskflow.functions.rules import Rule, load_rules
-from riskflow.operators import audit, enrich as companies, quality
+from riskflow.operators import audit, enrich as companies, keyindex, quality
 from riskflow.operators.landing import fingerprinted, new_rows, read_fact, to_fact
 from riskflow.operators.mutation import flag_against
 from riskflow.operators.scoring import rule_points, score, score_history
@@ -31,8 +31,9 @@ from riskflow.plans.loads import (
     with_epochs,
 )
 from riskflow.schemas import AUDIT_EVENTS, FACT, FACT_KEY, REGISTRY_JSON_FIELDS
-from riskflow.sources import fixtures, registry as registry_source
+from riskflow.sources import fixtures, footers, registry as registry_source
 from riskflow.sources.batches import assign_epochs, number_batches, sorted_copy
+from riskflow.sources.footers import NullsFound
 from riskflow.sources.tables import new_folder, read_or_empty
 from riskflow.sources.transactions import file_order, read_transactions, with_file_seq
 from riskflow.streaming import ingest
@@ -117,8 +118,13 @@ def plain_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stripped.select("transaction_id", payload_hash("plain").alias("payload_hash"), "file_seq")
 
 
+def _all_aged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every company of the tables, those that the registry of the loads lacks included."""
+    return companies.with_company_age(fixtures.all_companies(spark, sf_dir), fixtures.AS_OF)
+
+
 def company_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(_aged(spark, sf_dir))
+    return shown(_all_aged(spark, sf_dir))
 
 
 def cache_expiries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,11 +146,11 @@ def cache_expiries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payer_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(companies.payer_view(_aged(spark, sf_dir)))
+    return shown(companies.payer_view(_all_aged(spark, sf_dir)))
 
 
 def receiver_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(companies.receiver_view(_aged(spark, sf_dir)))
+    return shown(companies.receiver_view(_all_aged(spark, sf_dir)))
 
 
 ENRICHED_COLUMNS = (
@@ -285,14 +291,14 @@ def _delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sorted_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All loads sorted by id; rows of one id by fingerprint, copies by file position."""
-    keyed = fingerprinted(with_file_seq(_delivered(spark, sf_dir)))
+    keyed = fingerprinted(with_file_seq(_delivered(spark, sf_dir), "folder"))
     return sorted_copy(
         keyed, new_folder(spark, "sorted"), load="file_seq", tie=("payload_hash", "row_index")
     )
 
 
 def sorted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(_sorted_loads(spark, sf_dir).drop("file", "row_index", "sort_key"))
+    return shown(_sorted_loads(spark, sf_dir).drop("path", "file", "row_index", "sort_key"))
 
 
 def sorted_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,6 +332,22 @@ def unseen_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new_rows(arriving, stored).select(*FACT_KEY, "payer_cnpj", "receiver_cnpj", "amount")
 
 
+def loads_to_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of many small loads hold ids of a batch: those whose bitmaps share a bit with it, then
+    checked key by key. A load that a bitmap missed would be missing here.
+    """
+    keyed = _keyed(spark, sf_dir)
+    receiver = F.substring("receiver_cnpj", 2, 13).cast("long")
+    invoice = F.substring("invoice_id", 5, 20).cast("long")
+    stored = keyed.where("file_seq < 4").select("transaction_id", F.pmod(receiver, F.lit(97)).alias("load_seq"))
+    batch = keyed.where("file_seq = 4").where((receiver % 97 < 10) & (invoice % 30 == 0)).select("transaction_id")
+    possible = keyindex.loads_to_read(keyindex.id_bitmaps(stored, "load_seq"), keyindex.id_bitmaps(batch))
+    asked = stored.join(possible.select("load_seq").distinct(), "load_seq", "left_semi")
+    return asked.join(batch.distinct(), "transaction_id", "left_semi").groupBy("load_seq").agg(
+        F.countDistinct("transaction_id").alias("ids")
+    )
+
+
 # --- quality ----------------------------------------------------------------------
 
 
@@ -345,6 +367,14 @@ def null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumn("rejected", quality.has_nulls(report))
 
 
+def footer_null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report from the footers of delivered files."""
+    path = fixtures.deliver(_with_nulls(fixtures.transactions(spark, sf_dir)), new_folder(spark, "delivered"))
+    report = footers.null_report(spark, path, "folder")
+    number = F.substring("file", -4, 4).cast("int")
+    return report.select(number.alias("file_seq"), *report.columns[1:])
+
+
 def null_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.null_counts(_with_nulls(fixtures.transactions(spark, sf_dir)))
 
@@ -407,7 +437,7 @@ def key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_order(_delivered(spark, sf_dir))
+    return file_order(_delivered(spark, sf_dir), "folder")
 
 
 def _fact(spark: SparkSession, path: str) -> DataFrame:
@@ -421,7 +451,7 @@ def _quarantining(spark: SparkSession) -> LoadSettings:
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four loads in one job, the replay on top, then a load with changed amounts."""
     fact = new_folder(spark, "fact")
-    rows = with_file_seq(_delivered(spark, sf_dir))
+    rows = with_file_seq(_delivered(spark, sf_dir), "folder")
     changed = rows.where("file_seq < 4").where(
         F.substring("invoice_id", 5, 20).cast("long") % 10 == 1
     ).withColumn("amount", F.col("amount") + 1)
@@ -442,7 +472,7 @@ def _folder_load(
         load_folder(
             spark, path, known, fact, trail, _quarantining(spark), unit="folder", one_job=one_job
         )
-    except PySparkException:
+    except (PySparkException, NullsFound):
         if not failing:
             raise
     else:
@@ -465,7 +495,8 @@ def folder_load_in_one_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _trail(spark: SparkSession, path: str) -> DataFrame:
     state = audit.current_state(read_or_empty(spark, path, AUDIT_EVENTS))
-    return state.select("file", "status", "total_rows", "inserted_rows")
+    name = F.element_at(F.split("file", "/"), -1)
+    return state.select(name.alias("file"), "status", "total_rows", "inserted_rows")
 
 
 def folder_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -474,6 +505,19 @@ def folder_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trail(spark, trail)
 
 
+def one_job_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows when all files are one job."""
+    rows = fixtures.transactions(spark, sf_dir)
+    _, trail = _folder_load(spark, rows, fixtures.registry(spark, sf_dir), one_job=True)
+    return _trail(spark, trail)
+
+
+def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows when a stream picks the files up."""
+    _, trail = _stream_after(spark, sf_dir, 0)
+    return _trail(spark, trail)
+
+
 def failing_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second load holds nulls: it is recorded as failed and nothing follows it."""
     rows = _with_nulls(fixtures.transactions(spark, sf_dir))
@@ -492,8 +536,9 @@ def load_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stream_after(spark: SparkSession, sf_dir: str, batch_loads: int) -> DataFrame:
-    """The first loads by a folder load, each later one as a micro-batch of a stream."""
+def _stream_after(spark: SparkSession, sf_dir: str, batch_loads: int) -> tuple[str, str]:
+    """Paths of the fact table and the audit trail after the first loads by a folder load and
+    each later one as a micro-batch of a stream."""
     rows = fixtures.transactions(spark, sf_dir)
     inbox, fact, trail, checkpoint = (
         new_folder(spark, name) for name in ("inbox", "fact", "audit", "stream")
@@ -511,30 +556,31 @@ def _stream_after(spark: SparkSession, sf_dir: str, batch_loads: int) -> DataFra
             spark, inbox, known, fact, trail, checkpoint, settings,
             unit="folder", max_files=None, once=True,
         ).awaitTermination()
-    return _fact(spark, fact)
+    return fact, trail
 
 
 def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loads arrive one by one and a stream picks each up as one micro-batch."""
-    return _stream_after(spark, sf_dir, 0)
+    return _fact(spark, _stream_after(spark, sf_dir, 0)[0])
 
 
 def batch_then_stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A folder load and a stream share one fact table."""
-    return _stream_after(spark, sf_dir, 3)
+    return _fact(spark, _stream_after(spark, sf_dir, 3)[0])
 
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         risk_scored, risk_history, risk_history_split, risk_history_batched, incremental_load,
-        folder_load, folder_load_in_one_job, folder_load_audit, failing_load_audit, stream_load,
+        folder_load, folder_load_in_one_job, folder_load_audit, one_job_audit, stream_audit,
+        failing_load_audit, stream_load,
         batch_then_stream_load,
         strip_and_hash, payload_fingerprint, plain_fingerprint, company_age, cache_expiries,
         payer_roles, receiver_roles, enriched, enriched_with_repeated_companies, distinct_companies, cache_split, cache_stats,
         cache_refresh, registry_merged, registry_parsed, registry_rejected, registry_fetched,
-        rule_columns, all_operators, mutation_check, unseen_rows, sorted_rows, sorted_batches,
-        null_report, null_totals, null_gate, landing_rejects, landing_accepted, key_uniqueness,
+        rule_columns, all_operators, mutation_check, unseen_rows, loads_to_read, sorted_rows, sorted_batches,
+        null_report, footer_null_report, null_totals, null_gate, landing_rejects, landing_accepted, key_uniqueness,
         files_processed, audit_state, load_ids,
     )
 }

@@ -6,19 +6,35 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from riskflow.functions.rules import Rule, load_rules
 from riskflow.operators import audit
 from riskflow.operators.enrich import distinct_companies, enrich, with_company_age
-from riskflow.operators.landing import fingerprinted, next_load_seq, read_fact, to_fact, write_load
+from riskflow.operators.keyindex import (
+    buckets_in,
+    id_bitmaps,
+    loads_to_read,
+    read_filters,
+    read_keys,
+    touched,
+)
+from riskflow.operators.landed import has_loads
+from riskflow.operators.landing import (
+    FILE_SEQ,
+    fingerprinted,
+    next_load_seq,
+    read_load,
+    to_fact,
+    write_load,
+)
 from riskflow.operators.mutation import keys_of_interest, resolve_history
-from riskflow.operators.quality import require_landable, require_no_nulls, split_landable
+from riskflow.operators.quality import require_landable, require_no_nulls, with_violations
 from riskflow.operators.scoring import score_history
 from riskflow.operators.skew import BROADCAST_ROWS, HOT_ROWS
 from riskflow.schemas import FACT_KEY
-from riskflow.sources.batches import assign_epochs, sorted_copy
-from riskflow.sources.tables import new_folder, written
+from riskflow.sources.batches import EPOCHS_PER_FILE, assign_epochs, sorted_copy
+from riskflow.sources.tables import new_folder, working_tables, written
 from riskflow.sources.transactions import load_names, read_transactions, with_file_seq
 
 #: Maps the distinct companies of a load to registry rows.
@@ -37,6 +53,8 @@ class LoadSettings:
     reject_path: str | None = None
     """Where rows that cannot land are put; without it such a row fails the load."""
     amount_style: str = "shortest"
+    load_filters: bool = False
+    """Keep a membership bitmap per load and read only the keys of loads that may hold an id of the batch."""
     broadcast_rows: int = BROADCAST_ROWS
     hot_rows: int = HOT_ROWS
 
@@ -78,45 +96,89 @@ def payload(transactions: DataFrame, settings: LoadSettings) -> DataFrame:
     )
 
 
-def load_rows(
+def stored_keys(
+    batch: DataFrame, rows: int, buckets: list[int], fact_path: str, load_seq: int, settings: LoadSettings
+) -> DataFrame | None:
+    """Keys that earlier loads hold for the ids of a batch, written as a table; none before the first load.
+
+    Only the ``buckets`` of the key index that the ids fall into are read, and each once.
+    """
+    spark = batch.sparkSession
+    if not has_loads(spark, fact_path):
+        return None
+    keys = read_keys(spark, fact_path, buckets, load_seq)
+    if settings.load_filters:
+        possible = loads_to_read(read_filters(spark, fact_path, load_seq), id_bitmaps(batch))
+        keys = keys.join(possible.select("load_seq").distinct(), "load_seq", "left_semi")
+    return written(keys_of_interest(keys, batch, rows, settings.broadcast_rows), "stored-keys")
+
+
+@dataclass(frozen=True)
+class Landed:
+    """What a load did: rows read, rows inserted, and both per ``file_seq``."""
+
+    total_rows: int
+    inserted_rows: int
+    by_file: DataFrame
+
+
+def land(
     transactions: DataFrame,
     registry: DataFrame | RegistryLookup,
     fact_path: str,
     load_seq: int,
     settings: LoadSettings,
-) -> tuple[int, int]:
+    owner: str | None = None,
+    micro_batch: int | None = None,
+) -> Landed:
     """Land ``transactions`` (with ``file`` and ``file_seq``) as load ``load_seq``.
 
-    Gives rows read and rows inserted; both counts come from Parquet footers.
+    The input is read once: what the later jobs need of it is written as a table, and the
+    rows and the buckets of their ids are observed on the way. ``owner`` and ``micro_batch`` tell
+    whose load it is if a stream runs it.
     """
-    spark = transactions.sparkSession
-    total_rows = transactions.count()
     sound = require_no_nulls(transactions, "file")
     # Nothing is looked up for a load that is going to be rejected.
     companies = registry(distinct_companies(sound)) if callable(registry) else registry
     rows = payload(with_epochs(sound, settings), settings)
-    stored = keys_of_interest(
-        read_fact(spark, fact_path, before=load_seq),
-        fingerprinted(transactions, settings.amount_style),
-        total_rows,
-        settings.broadcast_rows,
-    )
+    if settings.reject_path is not None:
+        # Rows that never land must not count as earlier versions of an id, so they are
+        # told apart, and for that enriched, before anything else.
+        rows = with_violations(enriched(rows, companies, settings))
+    seen = Observation()
+    batch = written(rows.observe(
+        seen, F.count(F.lit(1)).alias("rows"), touched(F.col("transaction_id")).alias("buckets")
+    ), "batch")
+    total, buckets = seen.get["rows"], buckets_in(seen.get["buckets"])
+    stored = stored_keys(batch, total, buckets, fact_path, load_seq, settings)
     if settings.reject_path is None:
         # Duplicates go before the registry joins: every fact column follows from the
         # fingerprinted fields, the registry and the run time.
-        new = enriched(resolved(rows, settings, stored), companies, settings)
-        landable = require_landable(new)
+        landable = require_landable(enriched(resolved(batch, settings, stored), companies, settings))
     else:
-        # Rows that never land must not count as earlier versions of an id, so the check
-        # comes first; the enriched rows are kept, as three jobs read them.
-        kept = written(enriched(rows, companies, settings), "enriched")
-        good, rejected = split_landable(kept)
-        rejected.write.mode("overwrite").parquet(f"{settings.reject_path}/load_seq={load_seq}")
-        landable = resolved(good, settings, stored)
-    fact_rows = to_fact(score_history(landable, settings.rules), settings.run_time)
-    write_load(fact_rows, fact_path, load_seq)
-    inserted = read_fact(spark, fact_path).where(F.col("load_seq") == load_seq).count()
-    return total_rows, inserted
+        refused = F.size("violations") > 0
+        batch.where(refused).write.mode("overwrite").parquet(f"{settings.reject_path}/load_seq={load_seq}")
+        landable = resolved(batch.where(~refused).drop("violations"), settings, stored)
+    scored = score_history(landable, settings.rules).withColumn(FILE_SEQ, file_of_epoch(settings))
+    fact_rows = to_fact(scored, settings.run_time, FILE_SEQ)
+    inserted = write_load(fact_rows, fact_path, load_seq, owner, micro_batch, settings.load_filters)
+    counted = F.count(F.lit(1))
+    read = batch.groupBy(file_of_epoch(settings).alias(FILE_SEQ)).agg(counted.alias("total_rows"))
+    held = read_load(batch.sparkSession, fact_path, load_seq).groupBy(FILE_SEQ).agg(counted.alias("inserted_rows"))
+    return Landed(total, inserted, read.join(held, FILE_SEQ, "left"))
+
+
+def load_rows(
+    transactions: DataFrame,
+    registry: DataFrame | RegistryLookup,
+    fact_path: str,
+    load_seq: int,
+    settings: LoadSettings,
+) -> tuple[int, int]:
+    """:func:`land` without an audit trail; gives rows read and rows inserted."""
+    with working_tables(transactions.sparkSession):
+        done = land(transactions, registry, fact_path, load_seq, settings)
+    return done.total_rows, done.inserted_rows
 
 
 def audited_load(
@@ -125,25 +187,33 @@ def audited_load(
     fact_path: str,
     audit_path: str,
     load_seq: int,
-    name: str,
+    files: DataFrame,
     settings: LoadSettings,
+    owner: str | None = None,
+    micro_batch: int | None = None,
 ) -> int:
-    """:func:`load_rows` between audit events; a failure is recorded and raised again."""
+    """:func:`land` between audit events of each of ``files`` (``file, file_seq``).
+
+    A failure is recorded for all of them, as they land together, and raised again. Working
+    tables are removed either way.
+    """
     spark = transactions.sparkSession
     started = datetime.now(timezone.utc)
-    batch_id = audit.new_batch_id(started)
-    audit.record(spark, audit_path, batch_id, audit.STARTED, name, started)
-    try:
-        total, inserted = load_rows(transactions, registry, fact_path, load_seq, settings)
-    except Exception:
-        finished = datetime.now(timezone.utc)
-        audit.record(spark, audit_path, batch_id, audit.FAILED, name, started, finished)
-        raise
-    finished = datetime.now(timezone.utc)
-    audit.record(
-        spark, audit_path, batch_id, audit.COMPLETED, name, started, finished, total, inserted
-    )
-    return total
+    begun = audit.begin(spark, audit_path, files, started)
+    with working_tables(spark):
+        try:
+            done = land(transactions, registry, fact_path, load_seq, settings, owner, micro_batch)
+        except Exception:
+            audit.end(audit_path, begun, audit.FAILED, started, datetime.now(timezone.utc))
+            raise
+        audit.end(audit_path, begun, audit.COMPLETED, started, datetime.now(timezone.utc), done.by_file)
+    return done.total_rows
+
+
+def file_of_epoch(settings: LoadSettings) -> Column:
+    """Number of the file whose epoch a row has."""
+    epoch = F.col("epoch") if settings.batch_size is None else F.floor(F.col("epoch") / EPOCHS_PER_FILE)
+    return epoch.cast("int")
 
 
 def load_folder(
@@ -161,26 +231,28 @@ def load_folder(
     By default loads follow one another, each published before the next starts, and the
     first failing one ends the run. ``one_job`` resolves all of them in a single job with
     the file number as epoch: the same fact rows, but published together or not at all,
-    and the stored keys are read once instead of once per file.
+    and the stored keys are read once instead of once per file. Either way there is one audit
+    row per file.
     """
     transactions = read_transactions(spark, input_path, unit)
     first = next_load_seq(spark, fact_path)
+    files = spark.createDataFrame(
+        list(enumerate(load_names(transactions, input_path, unit))), f"{FILE_SEQ} int, file string"
+    )
     if one_job:
-        numbered = with_file_seq(transactions)
-        return audited_load(
-            numbered, registry, fact_path, audit_path, first, input_path, settings
-        )
+        numbered = with_file_seq(transactions, unit, input_path)
+        return audited_load(numbered, registry, fact_path, audit_path, first, files, settings)
 
     total = 0
-    for position, name in enumerate(load_names(transactions, unit)):
+    for position, name in enumerate(load_names(transactions, input_path, unit)):
         one = read_transactions(spark, f"{input_path}/{name}", unit)
         total += audited_load(
-            one.withColumn("file_seq", F.lit(0)),
+            one.withColumns({"file": F.lit(name), FILE_SEQ: F.lit(0)}),
             registry,
             fact_path,
             audit_path,
             first + position,
-            name,
+            spark.createDataFrame([(0, name)], f"{FILE_SEQ} int, file string"),
             settings,
         )
     return total

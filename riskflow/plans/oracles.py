@@ -39,6 +39,9 @@ SELECT concat('2', lpad(cast(s_suppkey as string),13,'0')), s_suppkey,
 FROM supplier
 """
 
+# Every customer and supplier, registered or not.
+ALL_REG = REG.replace("FROM customer WHERE c_custkey % 50 <> 49", "FROM customer")
+
 # Some companies again, as they were or changed; of each the latest, then greatest row counts.
 REPEATED_REG = f"""
 SELECT cnpj, number, status, activity_start_date, capital_stock FROM (
@@ -253,6 +256,20 @@ SELECT md5(cast(o_orderkey as string)), 1, CASE o_orderstatus WHEN 'F' THEN 'COM
   epoch_ms(cast(o_orderdate as timestamp)) + (o_orderkey % 100000) * 10 FROM orders WHERE o_orderstatus <> 'O'
 """
 
+AUDITED = derived(
+    """SELECT 'load=000' || n.file_seq AS file, 'COMPLETED' AS status, total_rows,
+         coalesce(inserted_rows, 0) AS inserted_rows
+       FROM (SELECT file_seq, count(*) AS total_rows FROM keyed GROUP BY 1) n
+       LEFT JOIN (SELECT epoch, count(*) AS inserted_rows FROM firsts GROUP BY 1) i ON i.epoch = n.file_seq""",
+    **LANDED,
+)
+
+NULLS = derived(
+    f"""SELECT *, greatest({", ".join(f"null_{name}" for name in INPUT)}) > 0 AS rejected
+        FROM (SELECT file_seq, {NULL_MEASURES} FROM blanked GROUP BY 1)""",
+    blanked=BLANKED,
+)
+
 ORACLES: dict[str, str] = {
     "risk_scored": derived(f"SELECT {SCORED_FACT} FROM enriched", enriched=ENRICHED),
     "risk_history": RISK_HISTORY,
@@ -267,13 +284,7 @@ ORACLES: dict[str, str] = {
     "folder_load_in_one_job": derived(f"SELECT {MUTATED_FACT} FROM enriched", **LANDED),
     "stream_load": LOADED,
     "batch_then_stream_load": LOADED,
-    "folder_load_audit": derived(
-        """SELECT 'load=000' || n.file_seq AS file, 'COMPLETED' AS status, total_rows,
-             coalesce(inserted_rows, 0) AS inserted_rows
-           FROM (SELECT file_seq, count(*) AS total_rows FROM keyed GROUP BY 1) n
-           LEFT JOIN (SELECT epoch, count(*) AS inserted_rows FROM firsts GROUP BY 1) i ON i.epoch = n.file_seq""",
-        **LANDED,
-    ),
+    **dict.fromkeys(("folder_load_audit", "one_job_audit", "stream_audit"), AUDITED),
     "failing_load_audit": derived(
         """SELECT 'load=0000' AS file, 'COMPLETED' AS status, (SELECT count(*) FROM keyed WHERE file_seq = 0) AS total_rows,
              (SELECT count(*) FROM firsts WHERE epoch = 0) AS inserted_rows
@@ -295,7 +306,8 @@ ORACLES: dict[str, str] = {
     ),
     "company_age": derived(
         """SELECT cnpj, status, cast(company_age as double) AS company_age,
-             cast(capital_stock as double) AS capital_stock FROM aged"""
+             cast(capital_stock as double) AS capital_stock FROM aged""",
+        reg=ALL_REG,
     ),
     "cache_expiries": """
         WITH spread AS (SELECT event_id, ts + event_id * INTERVAL 1 HOUR AS moment FROM events),
@@ -306,11 +318,13 @@ ORACLES: dict[str, str] = {
           cast(greatest((epoch_us(expiry) - epoch_us(moment)) // 1000000, 1) as bigint) AS ttl FROM due""",
     "payer_roles": derived(
         """SELECT cnpj AS payer_cnpj, status AS payer_status, cast(company_age as double) AS payer_company_age,
-             cast(capital_stock as double) AS payer_capital_stock FROM aged"""
+             cast(capital_stock as double) AS payer_capital_stock FROM aged""",
+        reg=ALL_REG,
     ),
     "receiver_roles": derived(
         """SELECT cnpj AS receiver_cnpj, status AS receiver_status,
-             cast(company_age as double) AS receiver_company_age FROM aged"""
+             cast(company_age as double) AS receiver_company_age FROM aged""",
+        reg=ALL_REG,
     ),
     "enriched": derived(ENRICHED_COLUMNS, enriched=ENRICHED),
     "enriched_with_repeated_companies": derived(ENRICHED_COLUMNS, reg=REPEATED_REG, enriched=ENRICHED),
@@ -387,10 +401,12 @@ ORACLES: dict[str, str] = {
              min(transaction_id) AS first_id, max(transaction_id) AS last_id FROM numbered GROUP BY ALL""",
         numbered=BY_ID,
     ),
-    "null_report": derived(
-        f"""SELECT *, greatest({", ".join(f"null_{name}" for name in INPUT)}) > 0 AS rejected
-            FROM (SELECT file_seq, {NULL_MEASURES} FROM blanked GROUP BY 1)""",
-        blanked=BLANKED,
+    **dict.fromkeys(("null_report", "footer_null_report"), NULLS),
+    "loads_to_read": derived(
+        """SELECT load_seq, count(DISTINCT transaction_id) AS ids
+           FROM (SELECT transaction_id, cast(substr(receiver_cnpj, 2) as bigint) % 97 AS load_seq FROM keyed WHERE file_seq < 4)
+           WHERE transaction_id IN (SELECT transaction_id FROM keyed WHERE file_seq = 4
+             AND cast(substr(receiver_cnpj, 2) as bigint) % 97 < 10 AND invoice % 30 = 0) GROUP BY 1"""
     ),
     "null_totals": derived(f"SELECT {NULL_MEASURES} FROM blanked", blanked=BLANKED),
     "null_gate": derived(

@@ -60,6 +60,27 @@ FACT = _struct(
 #: The fact table as stored: one directory per load.
 FACT_TABLE = T.StructType([*FACT.fields, T.StructField("load_seq", T.LongType(), True)])
 
+#: The manifest of landed loads: the newest entry of a load holds.
+LANDED_LOADS = _struct(
+    ("load_seq", T.LongType()),
+    ("entry_no", T.LongType()),
+    ("landed", T.BooleanType()),
+    ("owner", _text),
+    ("micro_batch", T.LongType()),
+    ("rows", T.LongType()),
+    ("first_id", _text),
+    ("last_id", _text),
+)
+
+#: Stored keys, in folders by load and hash bucket of the id.
+KEY_INDEX = _struct(
+    ("transaction_id", _text), ("payload_hash", _text),
+    ("load_seq", T.LongType()), ("bucket", T.IntegerType()),
+)
+
+#: Membership bitmaps per load and part of the hash space.
+KEY_FILTERS = _struct(("part", T.LongType()), ("ids", T.BinaryType()), ("load_seq", T.LongType()))
+
 FINAL_COLUMNS = FACT.fieldNames()
 
 #: One row per (id, payload) lands in the fact table.

@@ -10,12 +10,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 _LOCAL_FALLBACK: list[str] = []
+#: Working tables made since :func:`working_tables` was entered, if it was.
+_OPENED: ContextVar[list[str] | None] = ContextVar("opened", default=None)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -41,10 +45,26 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 def written(frame: DataFrame, purpose: str) -> DataFrame:
     """Write a frame as a shared table and read it back: runs one job."""
     path = new_folder(frame.sparkSession, purpose)
+    opened = _OPENED.get()
+    if opened is not None:
+        opened.append(path)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def working_tables(spark: SparkSession):
+    """Remove the tables that :func:`written` makes in this block (and thread) when it ends, however it ends."""
+    mine: list[str] = []
+    token = _OPENED.set(mine)
+    try:
+        yield
+    finally:
+        _OPENED.reset(token)
+        for path in mine:
+            remove_files(spark, path, [""])
+
+
 def _files(spark: SparkSession, path: str):
     """File system of a path, the path, and a function for paths below it."""
     jvm = spark.sparkContext._jvm
@@ -53,13 +73,40 @@ def _files(spark: SparkSession, path: str):
     return system, root, lambda name: jvm.org.apache.hadoop.fs.Path(root, name)
 
 
-def subfolders(spark: SparkSession, path: str, holding: str | None = None) -> list[str]:
-    """Names of the folders in a folder (that hold a file ``holding``); none if it is absent."""
-    system, root, below = _files(spark, path)
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as a URI without a slash at its end."""
+    system, root, _ = _files(spark, path)
+    return system.makeQualified(root).toUri().toString().rstrip("/")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, root, _ = _files(spark, path)
+    return system.exists(root)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, from one listing; none if it is absent."""
+    system, root, _ = _files(spark, path)
     if not system.exists(root):
         return []
-    names = [found.getPath().getName() for found in system.listStatus(root) if found.isDirectory()]
-    return [n for n in names if holding is None or system.exists(below(f"{n}/{holding}"))]
+    return [found.getPath().getName() for found in system.listStatus(root) if found.isDirectory()]
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files in a folder, from one listing; none if it is absent."""
+    system, root, _ = _files(spark, path)
+    if not system.exists(root):
+        return []
+    names = [found.getPath().getName() for found in system.listStatus(root) if found.isFile()]
+    return [name for name in names if not name.startswith(("_", "."))]
+
+
+def remove_files(spark: SparkSession, path: str, names: list[str]) -> None:
+    """Delete files (or folders with all they hold) of a folder, itself if a name is empty; absent
+    ones are no error."""
+    system, root, below = _files(spark, path)
+    for name in names:
+        system.delete(below(name) if name else root, True)
 
 
 def make_folder(spark: SparkSession, path: str) -> None:

@@ -2,39 +2,59 @@
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 from riskflow.schemas import TRANSACTIONS
+from riskflow.sources.tables import qualified
 
 #: What counts as one load: a Parquet file, or a folder of part files.
 UNITS = ("file", "folder")
 
 
-def _load_name(unit: str) -> Column:
-    if unit == "file":
-        return F.col("_metadata.file_name")
+def load_name(spark: SparkSession, uri: str, unit: str, root: str | None) -> str:
+    """Name of a file's load: its path below ``root``, so loads of equal names in different folders
+    stay apart; without a root its last name."""
+    if unit not in UNITS:
+        raise ValueError(f"unit must be one of {UNITS}: {unit!r}")
+    path = _decoded(uri)
     if unit == "folder":
-        return F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    raise ValueError(f"unit must be one of {UNITS}: {unit!r}")
+        path = path.rpartition("/")[0]
+    return path.rpartition("/")[2] if root is None else path.removeprefix(f"{_decoded(qualified(spark, root))}/")
 
 
-def _columns(unit: str) -> list[Column]:
-    names = [F.col(name) for name in TRANSACTIONS.fieldNames()]
-    return [*names, _load_name(unit).alias("file"), F.col("_metadata.row_index").alias("row_index")]
+def _decoded(uri: str) -> str:
+    return unquote(urlparse(uri).path).rstrip("/")
+
+
+def paths(transactions: DataFrame) -> list[str]:
+    """Files of a scan as its rows name them, from the listing the driver holds anyway; of a
+    micro-batch, whose frame has none, the files that its rows come from."""
+    listed = transactions.inputFiles()
+    if listed:
+        return [re.sub("^file:/+", "file:/", uri) for uri in listed]
+    return [row["path"] for row in transactions.select("path").distinct().collect()]
+
+
+def _columns() -> list[Column]:
+    place = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row_index")]
+    return [*[F.col(name) for name in TRANSACTIONS.fieldNames()], *place]
 
 
 def read_transactions(spark: SparkSession, path: str, unit: str = "file") -> DataFrame:
-    """Input columns, ``file`` (the load a row came in) and ``row_index`` (its place there).
+    """Input columns, ``path`` (of the file a row came in) and ``row_index`` (its place there).
 
     Unused columns, also these two, are never read.
     """
+    if unit not in UNITS:
+        raise ValueError(f"unit must be one of {UNITS}: {unit!r}")
     reader = spark.read.schema(TRANSACTIONS).option("pathGlobFilter", "*.parquet")
     if unit == "folder":
         reader = reader.option("recursiveFileLookup", "true")
-    return reader.parquet(path).select(*_columns(unit))
+    return reader.parquet(path).select(*_columns())
 
 
 def stream_transactions(
@@ -52,28 +72,34 @@ def stream_transactions(
         reader = reader.option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path).select(*_columns(unit))
+    return reader.parquet(path).select(*_columns())
 
 
-def load_names(transactions: DataFrame, unit: str = "file") -> list[str]:
-    """Names of all loads in name order, empty ones included, from the file listing."""
-    place = -1 if unit == "file" else -2
-    paths = (unquote(urlparse(uri).path) for uri in transactions.inputFiles())
-    return sorted({path.split("/")[place] for path in paths})
+def load_names(transactions: DataFrame, path: str, unit: str = "file") -> list[str]:
+    """Names of all loads below ``path`` in name order, empty ones included."""
+    spark = transactions.sparkSession
+    return sorted({load_name(spark, uri, unit, path) for uri in paths(transactions)})
 
 
-def file_order(transactions: DataFrame) -> DataFrame:
-    """``file``, ``file_seq`` from 0 in name order, and ``total_rows`` per load.
+def files_of(transactions: DataFrame, unit: str = "file", root: str | None = None) -> DataFrame:
+    """``path, file, file_seq`` of every file, numbered from 0 in the order of the loads' names.
 
-    Reads no data column. The numbering sorts one row per load in one task, so its input
-    is bounded by the number of files and not by the rows.
+    A local table of one row per file: no row of a scan is read or named for it.
     """
-    loads = transactions.groupBy("file").agg(F.count(F.lit(1)).alias("total_rows"))
-    position = F.row_number().over(Window.orderBy("file")) - 1
-    return loads.select("file", position.cast("int").alias("file_seq"), "total_rows")
+    spark = transactions.sparkSession
+    named = [(uri, load_name(spark, uri, unit, root)) for uri in paths(transactions)]
+    number = {name: k for k, name in enumerate(sorted({name for _, name in named}))}
+    return spark.createDataFrame([(u, n, number[n]) for u, n in named], "path string, file string, file_seq int")
+
+
+def file_order(transactions: DataFrame, unit: str = "file", root: str | None = None) -> DataFrame:
+    """``file``, ``file_seq`` and ``total_rows`` of the loads that have rows. Reads no data column."""
+    counts = transactions.groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
+    known = counts.join(F.broadcast(files_of(transactions, unit, root)), "path")
+    return known.groupBy("file", "file_seq").agg(F.sum("rows").alias("total_rows"))
 
 
-def with_file_seq(transactions: DataFrame) -> DataFrame:
-    """Number the loads; the broadcast holds one row per file."""
-    numbers = file_order(transactions).select("file", "file_seq")
-    return transactions.join(F.broadcast(numbers), "file", "inner")
+def with_file_seq(transactions: DataFrame, unit: str = "file", root: str | None = None) -> DataFrame:
+    """Add ``file`` and ``file_seq``. The broadcast is the listing, which the driver holds already:
+    a join by shuffle would put each file's rows into one task."""
+    return transactions.join(F.broadcast(files_of(transactions, unit, root)), "path", "inner")

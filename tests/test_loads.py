@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from builders import PAYER, SETTINGS, payment, payments, some_id, sound_registry
 from riskflow.operators import audit
+from riskflow.operators.landed import landed_loads
 from riskflow.operators.landing import next_load_seq, read_fact, stream_load_seq
 from riskflow.operators.quality import duplicate_keys
 from riskflow.plans.loads import load_folder, load_rows
 from riskflow.schemas import AUDIT_EVENTS, FACT, FACT_TABLE
 from riskflow.sources.registry import from_snapshot, refresh_cache
-from riskflow.sources.tables import new_folder, read_or_empty, shared_root
+from riskflow.sources.tables import new_folder, read_or_empty, shared_root, subfolders
 from riskflow.streaming import ingest
 
 
@@ -81,6 +82,10 @@ def test_one_job_lands_the_same_rows(spark, place, limits):
     three_loads(spark, place)
     settings = replace(SETTINGS, broadcast_rows=limits[0], hot_rows=limits[1])
     assert run(spark, place, settings, one_job=True) == 8
+    # One audit row per file, as when they are loaded one after the other.
+    assert trail(spark, place) == {
+        "a": ("COMPLETED", 3, 2), "b": ("COMPLETED", 2, 2), "c": ("COMPLETED", 3, 1),
+    }
     assert {k: v[1] for k, v in facts(spark, place).items()} == {k: v[1] for k, v in LANDED.items()}
     run(spark, place, settings, one_job=True)
     assert read_fact(spark, place.fact).count() == len(LANDED)
@@ -100,6 +105,11 @@ def test_first_bad_file_ends_the_run(spark, place):
     with pytest.raises(Exception, match="b: null values in description"):
         run(spark, place)
     assert trail(spark, place) == {"a": ("COMPLETED", 1, 1), "b": ("FAILED", 0, 0)}
+    with pytest.raises(Exception, match="b: null values in description"):
+        run(spark, place, one_job=True)
+    assert sorted(r.status for r in audit.current_state(spark.read.parquet(place.trail)).collect()) == [
+        "COMPLETED", "FAILED", "FAILED", "FAILED", "FAILED",
+    ]
     assert set(facts(spark, place)) == {(some_id(1), "100.00")}
 
 
@@ -122,10 +132,23 @@ def test_a_rejected_version_is_no_earlier_version(spark, place, one_job):
     assert [v[1] for v in facts(spark, place).values()] == [0]
 
 
-def test_empty_load_completes(spark, place):
+def test_loads_of_equal_names_stay_apart(spark, place):
+    deliver(spark, place, "2024/x", payment(1))
+    deliver(spark, place, "2025/x", payment(1, amount=200.0))
+    deliver(spark, place, "2025/y a+b%c", payment(2))
+    assert run(spark, place) == 3
+    assert facts(spark, place) == {
+        (some_id(1), "100.00"): (0, 0), (some_id(1), "200.00"): (1, 75), (some_id(2), "100.00"): (2, 0),
+    }
+    state = audit.current_state(spark.read.parquet(place.trail)).collect()
+    assert sorted(r.file for r in state) == ["2024/x", "2025/x", "2025/y a+b%c"]
+
+
+@pytest.mark.parametrize("one_job", [False, True])
+def test_empty_load_completes(spark, place, one_job):
     deliver(spark, place, "a")
     deliver(spark, place, "b", payment(1))
-    assert run(spark, place) == 1
+    assert run(spark, place, one_job=one_job) == 1
     assert trail(spark, place) == {"a": ("COMPLETED", 0, 0), "b": ("COMPLETED", 1, 1)}
 
 
@@ -182,6 +205,15 @@ def test_stream_equals_batch_and_remembers_what_it_loaded(spark, place):
     step()
     step()
     assert facts(spark, place) == LANDED
+    assert trail(spark, place) == {
+        "a": ("COMPLETED", 3, 2), "b": ("COMPLETED", 2, 2), "c": ("COMPLETED", 3, 1),
+    }
+    # Notes of micro-batches go when they land; the manifest names them instead.
+    assert subfolders(spark, f"{place.fact}/_streams") == []
+    landed = landed_loads(spark, place.fact).collect()
+    assert sorted((r.load_seq, r.micro_batch, r.rows) for r in landed) == [(0, 0, 2), (1, 1, 2), (2, 2, 1)]
+    owner = landed[0].owner
+    assert stream_load_seq(spark, place.fact, owner, 1) == 1
 
 
 def test_stream_takes_single_files_in_the_order_they_were_written(spark, place):
@@ -257,15 +289,48 @@ def test_a_micro_batch_keeps_its_number(spark, place):
     assert stream_load_seq(spark, place.fact, "x", 1) == 2
 
 
-def test_a_load_broken_at_commit_is_not_read(spark, place):
-    import os
+def test_a_load_broken_before_its_entry_is_not_read(spark, place, monkeypatch):
+    """Whatever a crash leaves of a load, rows or rows and keys, it does not count."""
+    from riskflow.operators import landing
 
     three_loads(spark, place)
     run(spark, place)
-    os.remove(f"{place.fact}/load_seq=2/_SUCCESS")
     left = facts(spark, place)
-    assert left == {key: value for key, value in LANDED.items() if value[0] < 2}
-    assert next_load_seq(spark, place.fact) == 3
+    assert left == LANDED
+    rows = payments(spark, payment(1, amount=900.0), payment(9)).withColumns({"file": F.lit("d"), "file_seq": F.lit(0)})
+
+    def crash(*_, **__):
+        raise OSError("lost")
+
+    for step in ("write_keys", "read_load"):
+        with monkeypatch.context() as broken:
+            broken.setattr(landing, step, crash)
+            with pytest.raises(OSError):
+                load_rows(rows, sound_registry(spark), place.fact, 3, SETTINGS)
+        assert facts(spark, place) == left
+        assert next_load_seq(spark, place.fact) == 4
+    # The next load does not see what was broken, and the same one can be run again.
+    assert load_rows(rows, sound_registry(spark), place.fact, 4, SETTINGS) == (2, 2)
+    assert facts(spark, place)[some_id(9), "100.00"] == (4, 0)
+    assert load_rows(rows, sound_registry(spark), place.fact, 3, SETTINGS) == (2, 2)
+
+
+def test_a_load_that_breaks_while_it_is_replaced_is_taken_back(spark, place, monkeypatch):
+    from riskflow.operators import landing
+
+    rows = payments(spark, payment(1)).withColumns({"file": F.lit("a"), "file_seq": F.lit(0)})
+    load_rows(rows, sound_registry(spark), place.fact, 0, SETTINGS)
+
+    def crash(*_, **__):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(landing, "write_keys", crash)
+        with pytest.raises(OSError):
+            load_rows(rows, sound_registry(spark), place.fact, 0, SETTINGS)
+    assert facts(spark, place) == {}
+    load_rows(rows, sound_registry(spark), place.fact, 0, SETTINGS)
+    assert set(facts(spark, place)) == {(some_id(1), "100.00")}
 
 
 def test_no_lookup_for_a_rejected_load(spark, place):
@@ -293,26 +358,32 @@ def test_running_settings_follow_the_clock():
 
 def test_audit_states(spark, place):
     start = datetime(2024, 1, 1, tzinfo=timezone.utc)
-    end = start + timedelta(seconds=1, milliseconds=255)
-    ids = [audit.new_batch_id(start) for _ in range(3)]
-    for batch_id, file in zip(ids, "abb"):
-        audit.record(spark, place.trail, batch_id, audit.STARTED, file, start)
-    audit.record(spark, place.trail, ids[0], audit.COMPLETED, "a", start, end, 7, 5)
-    audit.record(spark, place.trail, ids[1], audit.FAILED, "b", start, end)
-    state = {r.batch_id: r for r in audit.current_state(spark.read.parquet(place.trail)).collect()}
-    done, failed, open_ = (state[i] for i in ids)
-    assert (done.status, done.total_rows, done.inserted_rows) == ("COMPLETED", 7, 5)
-    assert str(done.duration_seconds) == "1.26"
-    assert (failed.status, failed.total_rows, failed.file) == ("FAILED", 0, "b")
-    assert (open_.status, open_.finished_at, str(open_.duration_seconds)) == ("PROCESSING", None, "0.00")
-
-
-def test_batch_ids_are_ordered_by_time():
+    finish = start + timedelta(seconds=1, milliseconds=255)
+    files = spark.createDataFrame([(0, "a"), (1, "b")], "file_seq int, file string")
+    both = audit.begin(spark, place.trail, files, start)
+    failing = audit.begin(spark, place.trail, files.where("file_seq = 1"), start)
+    audit.begin(spark, place.trail, files.where("file_seq = 0"), start)
+    measured = spark.createDataFrame([(0, 7, 5)], "file_seq int, total_rows long, inserted_rows long")
+    audit.end(place.trail, both, audit.COMPLETED, start, finish, measured)
+    audit.end(place.trail, failing, audit.FAILED, start, finish)
+    rows = audit.current_state(spark.read.parquet(place.trail)).collect()
+    state = sorted((r.file, r.status, r.total_rows, r.inserted_rows, str(r.duration_seconds)) for r in rows)
+    assert state == [
+        ("a", "COMPLETED", 7, 5, "1.26"), ("a", "PROCESSING", 0, 0, "0.00"),
+        ("b", "COMPLETED", 0, 0, "1.26"), ("b", "FAILED", 0, 0, "1.26"),
+    ]
+    assert all((r.finished_at is None) == (r.status == "PROCESSING") for r in rows)
+
+
+def test_load_ids_are_ordered_by_time(spark, place):
     import uuid
 
     start = datetime(2024, 1, 1, tzinfo=timezone.utc)
-    ids = [audit.new_batch_id(start + timedelta(milliseconds=n)) for n in range(50)]
-    assert ids == sorted(ids) and all(uuid.UUID(i).version == 7 for i in ids)
+    files = spark.createDataFrame([(0, "a")], "file_seq int, file string")
+    ids = [
+        audit.begin(spark, place.trail, files, start + timedelta(milliseconds=n)).first().batch_id for n in range(4)
+    ]
+    assert ids == sorted(ids) and len(set(ids)) == 4 and all(uuid.UUID(i).version == 7 for i in ids)
 
 
 # --- tables -----------------------------------------------------------------------
