@@ -23,12 +23,13 @@ apart by 32 bits of hash of their texts and ordered by it; of equal rows one is
 lose all bytes if they have ``WIDTH``. Other columns are ignored; empty tables give no rows.
 """
 
+from __future__ import annotations
+
 import hashlib
 import uuid
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -44,8 +45,9 @@ CROWD = 1000
 #: Bytes that are hashed at a time, and that are searched for equal runs before the shuffle.
 SLICE = 1 << 20
 GROUP = 8 << 20
-#: Bits of the filters that keep documents without work out of the shuffles. Bounds their size to 1 MB.
-FILTER_BITS = 23
+#: Bits of the filters that keep documents without work out of the shuffles. They are literals of 128 KB,
+#: whatever the input: the more documents have work, the fewer they keep out.
+FILTER_BITS = 20
 _LOWEST = -(1 << 63)
 
 _U = np.uint64
@@ -334,18 +336,16 @@ def identified(docs: DataFrame) -> DataFrame:
     return rows.select("doc", tie.alias("tie"), "text")
 
 
-def bits_of(rows: DataFrame, *columns: str):
-    """A broadcast bitmap of fixed size: the bits of the hashes of ``columns``."""
-    return bitmap(rows.select(F.xxhash64(*columns).alias("hash")), FILTER_BITS)
+def bits_of(rows: DataFrame, *columns: str) -> bytes:
+    """A bitmap of fixed size: the bits of the hashes of ``columns``."""
+    return bitmap(rows.select(F.xxhash64(*columns).alias("hash")), FILTER_BITS).value.tobytes()
 
 
-def member(bits, *columns: str) -> Column:
+def member(bits: bytes, *columns: str) -> Column:
     """Whether the bit of the hash of ``columns`` is set: true of all that set it, and of few others."""
-    def is_set(spot: pd.Series) -> pd.Series:
-        at = spot.to_numpy()
-        return pd.Series((bits.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
-
-    return F.pandas_udf(is_set, "boolean")(F.xxhash64(*columns).bitwiseAND((1 << FILTER_BITS) - 1))
+    spot = F.xxhash64(*columns).bitwiseAND((1 << FILTER_BITS) - 1).cast("int")
+    byte = F.conv(F.hex(F.substring(F.lit(bits), F.floor(spot / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.call_function("shiftright", byte, spot % 8).bitwiseAND(1) == 1
 
 
 def repeats(rows: DataFrame, batches: int = BATCHES, width: int = WIDTH, core: int = CORE, crowd: int = CROWD, size: int = SLICE) -> DataFrame:
