@@ -19,23 +19,52 @@ def strip_prefix(transaction_id: Column) -> Column:
     return F.substr(transaction_id, F.lit(ID_PREFIX_LENGTH + 1))
 
 
-def amount_text(amount: Column, style: str = "shortest") -> Column:
+def positional(number: Column) -> Column:
+    """Shortest text of a double without an exponent from 1e-4 up to 1e16, as ``12345678.9``.
+
+    Spark writes ``1.23456789E7`` from ten million up and below a thousandth. The digits are the same,
+    so the point is moved: behind ``exponent`` more digits, or behind as many zeros. Further out
+    the exponent stays, in the short form ``1e16``.
+    """
+    text = number.cast("string")
+    sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    mantissa = F.substring_index(F.ltrim(text, F.lit("-")), "E", 1)
+    exponent = F.substring_index(text, "E", -1).try_cast("int")
+    whole = F.substring_index(mantissa, ".", 1)
+    rest = F.when(F.endswith(mantissa, F.lit(".0")), F.lit("")).otherwise(F.substring_index(mantissa, ".", -1))
+    digits = F.concat(whole, rest)
+    places = exponent + 1  # digits before the point
+    wide = F.rpad(digits, F.greatest(places, F.length(digits)), F.lit("0"))
+    behind = F.substr(wide, places + 1)
+    large = F.concat(sign, F.substr(wide, F.lit(1), places), F.lit("."), F.when(behind == "", F.lit("0")).otherwise(behind))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -places), digits)
+    short = F.concat(sign, whole, F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(F.lit("")), F.lit("e"), exponent)
+    return (
+        F.when(~F.contains(text, F.lit("E")), text)
+        .when(exponent.between(0, 15), large)
+        .when(exponent.between(-4, -1), small)
+        .otherwise(short)
+    )
+
+
+def amount_text(amount: Column, style: str = "positional") -> Column:
     """Text of an amount inside the fingerprint.
 
-    ``shortest`` is Spark's shortest text (``1.0E7`` from ten million up);
-    ``plain`` writes amounts that are exact to two decimals without an exponent.
+    ``positional`` is the shortest text without an exponent (:func:`positional`), ``shortest``
+    Spark's own (``1.0E7`` from ten million up); ``plain`` writes amounts that are exact to
+    two decimals with two decimals.
     """
+    if style == "positional":
+        return positional(amount)
     if style == "shortest":
         return amount.cast("string")
     if style == "plain":
         plain = amount.try_cast("decimal(38,2)")
-        return F.when(plain.cast("double") == amount, plain.cast("string")).otherwise(
-            amount.cast("string")
-        )
+        return F.when(plain.cast("double") == amount, plain.cast("string")).otherwise(positional(amount))
     raise ValueError(f"unknown amount style: {style}")
 
 
-def payload_hash(amount_style: str = "shortest") -> Column:
+def payload_hash(amount_style: str = "positional") -> Column:
     """First 32 hex digits of the SHA-256 over the six payload fields, bar-separated.
 
     Uses the stripped but otherwise raw id. ``concat`` keeps a null operand null,

@@ -38,7 +38,7 @@ class Rule:
 
     def __post_init__(self) -> None:
         if self.operator not in COMPARISONS:
-            raise ValueError(f"Unsupported operator: {self.operator}")
+            raise ValueError(f"{self.operator!r} is none of the comparisons {list(COMPARISONS)}")
         if isinstance(self.points, bool) or not isinstance(self.points, int):
             raise ValueError(f"points of {self.reason} must be a whole number: {self.points!r}")
 

@@ -21,7 +21,7 @@ _STREAMS = "_streams"
 FILE_SEQ = "file_seq"
 
 
-def fingerprinted(transactions: DataFrame, amount_style: str = "shortest") -> DataFrame:
+def fingerprinted(transactions: DataFrame, amount_style: str = "positional") -> DataFrame:
     """Strip the id prefix, then hash the payload, then bring the id into UUID form.
 
     The hash covers the id as it was written. An id that is not a UUID is left as it is

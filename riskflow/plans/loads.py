@@ -52,7 +52,7 @@ class LoadSettings:
     """Rows per batch when mutations between batches of one file are to be flagged."""
     reject_path: str | None = None
     """Where rows that cannot land are put; without it such a row fails the load."""
-    amount_style: str = "shortest"
+    amount_style: str = "positional"
     load_filters: bool = False
     """Keep a membership bitmap per load and read only the keys of loads that may hold an id of the batch."""
     broadcast_rows: int = BROADCAST_ROWS

@@ -12,7 +12,8 @@ SELECT concat('trx_', substr(m,1,8),'-',substr(m,9,4),'-',substr(m,13,4),'-',sub
   concat('1', lpad(cast(o_custkey as string),13,'0')) AS payer_cnpj,
   concat('2', lpad(cast(l_suppkey as string),13,'0')) AS receiver_cnpj,
   concat('INV-', cast(l_orderkey as string)) AS invoice_id,
-  CASE WHEN l_linenumber = 1 THEN l_extendedprice * 4 ELSE l_extendedprice END AS amount,
+  CASE WHEN l_orderkey % 97 = 5 THEN l_extendedprice * 1024 WHEN l_linenumber = 1 THEN l_extendedprice * 4
+    ELSE l_extendedprice END AS amount,
   CASE l_linenumber % 3 WHEN 0 THEN 'PIX' WHEN 1 THEN 'TED' ELSE 'BOLETO' END AS payment_method,
   cast(l_shipdate as date) AS due_date,
   concat('part ', cast(l_partkey as string)) AS description,
@@ -375,6 +376,16 @@ ORACLES: dict[str, str] = {
         + " FROM enriched",
         enriched=ENRICHED,
     ),
+    "rule_errors": """
+        SELECT * FROM (SELECT p_partkey AS entry_no, CASE WHEN p_partkey % 29 = 8 OR p_partkey % 31 = 9 THEN 'not an object'
+          ELSE concat_ws(', ',
+            CASE WHEN p_partkey % 7 = 2 THEN 'column missing' WHEN p_partkey % 5 = 1 THEN 'column unknown' END,
+            CASE WHEN p_partkey % 13 = 4 THEN 'operator missing' WHEN p_partkey % 11 = 3 THEN 'operator unknown' END,
+            CASE WHEN p_partkey % 17 = 5 THEN 'points missing' WHEN p_partkey % 3 <> 0 THEN 'points not a whole number' END,
+            CASE WHEN p_partkey % 19 = 6 THEN 'reason missing' END,
+            CASE WHEN p_partkey % 4 = 3 AND p_partkey % 23 <> 7 THEN 'no operand' END,
+            CASE WHEN p_partkey % 23 = 7 THEN 'compare_column unknown' END) END AS violations FROM part)
+        WHERE violations <> ''""",
     "all_operators": derived(
         f"""SELECT transaction_id, payload_hash, file_seq, cast({score_of(OPERATORS)} as integer) AS risk_score,
               {reasons_of(OPERATORS)} AS score_reasons FROM enriched""",
@@ -410,7 +421,9 @@ ORACLES: dict[str, str] = {
     ),
     "null_totals": derived(f"SELECT {NULL_MEASURES} FROM blanked", blanked=BLANKED),
     "null_gate": derived(
-        "SELECT file_seq, payment_method, count(*) AS passed FROM tx GROUP BY ALL"
+        f"""SELECT file_seq, payment_method, count(*) AS passed FROM blanked WHERE file_seq NOT IN (
+             SELECT file_seq FROM blanked WHERE {" OR ".join(f"{name} IS NULL" for name in INPUT)}) GROUP BY ALL""",
+        blanked=BLANKED,
     ),
     "landing_rejects": derived(
         f"""SELECT * FROM (SELECT transaction_id, payload_hash, file_seq, {VIOLATIONS} AS violations FROM candidates)
@@ -426,7 +439,7 @@ ORACLES: dict[str, str] = {
         """SELECT 'delivered' AS stage, count(*) FILTER (n > 1) AS repeated_keys,
              cast(coalesce(sum(n) FILTER (n > 1), 0) as bigint) AS repeated_rows, cast(sum(n) as bigint) AS all_rows
            FROM (SELECT count(*) AS n FROM keyed GROUP BY transaction_id, payload_hash)
-           UNION ALL SELECT 'violations', 0, 0, 0"""
+           UNION ALL SELECT 'inserted', 0, 0, count(*) FROM (SELECT DISTINCT transaction_id, payload_hash FROM keyed)"""
     ),
     "files_processed": derived(
         "SELECT 'load=000' || file_seq AS file, file_seq, count(*) AS total_rows FROM tx GROUP BY ALL"

@@ -51,7 +51,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _company("1", F.col("o_custkey")).alias("payer_cnpj"),
         _company("2", F.col("l_suppkey")).alias("receiver_cnpj"),
         F.concat(F.lit("INV-"), order.cast("string")).alias("invoice_id"),
-        F.when(line == 1, price * 4).otherwise(price).alias("amount"),
+        # Some amounts lie above ten million, where Spark's own text has an exponent.
+        F.when(order % 97 == 5, price * 1024).when(line == 1, price * 4).otherwise(price).alias("amount"),
         F.when(line % 3 == 0, "PIX").when(line % 3 == 1, "TED").otherwise("BOLETO")
         .alias("payment_method"),
         F.col("l_shipdate").cast("date").alias("due_date"),
@@ -127,6 +128,27 @@ def registry_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rule_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule per part as JSON text; by remainders of the key fields are missing, unknown or mistyped."""
+    key = F.col("p_partkey")
+
+    def put(name: str, value: Column, present: Column | None = None) -> Column:
+        text = F.concat(F.lit(f'"{name}":'), value)
+        return text if present is None else F.when(present, text)
+
+    fields = F.concat_ws(
+        ",",
+        put("column", F.when(key % 5 == 1, F.lit('"colour"')).otherwise(F.lit('"amount"')), key % 7 != 2),
+        put("operator", F.when(key % 11 == 3, F.lit('"=>"')).otherwise(F.lit('">="')), key % 13 != 4),
+        put("points", F.when(key % 3 == 1, F.lit("2.5")).when(key % 3 == 2, F.lit('"10"')).otherwise(F.lit("10")), key % 17 != 5),
+        put("reason", F.concat(F.lit('"r'), key.cast("string"), F.lit('"')), key % 19 != 6),
+        put("value", key.cast("string"), key % 4 != 3),
+        put("compare_column", F.lit('"size"'), key % 23 == 7),
+    )
+    entry = F.when(key % 29 == 8, F.lit("[1]")).when(key % 31 == 9, F.lit("{")).otherwise(F.concat(F.lit("{"), fields, F.lit("}")))
+    return _table(spark, sf_dir, "part").select(key.alias("entry_no"), entry.alias("entry"))
+
+
 def audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One load per order: started, and by order status completed, failed or still open."""
     orders = _table(spark, sf_dir, "orders")

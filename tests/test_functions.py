@@ -175,7 +175,7 @@ def test_every_operator_with_either_operand_and_nulls(spark, operator, kind):
 def test_column_operand_takes_precedence_and_checks_name_the_problem():
     entry = {"column": "a", "operator": ">", "points": 1, "reason": "r", "value": 3}
     assert Rule.from_mapping({**entry, "compare_column": "b"}).compare_column == "b"
-    with pytest.raises(ValueError, match="Unsupported operator: ~"):
+    with pytest.raises(ValueError, match="'~' is none of the comparisons"):
         Rule.from_mapping({**entry, "operator": "~"})
     for key in ("column", "points", "reason", "value"):
         with pytest.raises(KeyError, match=key):
@@ -199,3 +199,65 @@ def test_nan_ranks_above_every_number(spark):
     rule = Rule("a", ">", 10, "large", value=100_000)
     frame = spark.createDataFrame([(float("nan"),)], "a double")
     assert frame.select(risk_score([rule]).alias("s")).first().s == 10
+
+
+@pytest.mark.parametrize("number, text", [
+    (0.0, "0.0"), (1.0, "1.0"), (-12.5, "-12.5"), (9999999.99, "9999999.99"), (1e7, "10000000.0"), (1.23e7, "12300000.0"),
+    (12345678.9, "12345678.9"), (-98765432.25, "-98765432.25"), (123456789012345.6, "123456789012345.6"),
+    (1e15, "1000000000000000.0"), (1.5e16, "1.5e16"), (1e16, "1e16"), (2e300, "2e300"), (0.001, "0.001"), (0.0005, "0.0005"),
+    (0.00012, "0.00012"), (1e-5, "1e-5"), (-2.5e-9, "-2.5e-9"), (None, None),
+])
+def test_positional_amounts(spark, number, text):
+    from riskflow.functions.fingerprint import amount_text, positional
+
+    row = spark.createDataFrame([(number,)], "x double").select(
+        positional(F.col("x")).alias("t"), amount_text(F.col("x")).alias("d"), amount_text(F.col("x"), "shortest").alias("s")
+    ).first()
+    assert (row.t, row.d) == (text, text)
+    assert number is None or float(row.t) == number == float(row.s)
+
+
+def test_positional_text_is_what_python_writes(spark):
+    import random
+
+    from riskflow.functions.fingerprint import positional
+
+    rnd = random.Random(6)
+    numbers = [round(rnd.uniform(0, 10 ** rnd.randrange(1, 15)), 2) for _ in range(2000)]
+    rows = spark.createDataFrame([(x,) for x in numbers], "x double").select("x", positional(F.col("x")).alias("t")).collect()
+    assert [r.t for r in rows] == [repr(r.x) for r in rows]
+
+
+def test_rule_entries_are_checked_as_rows(spark):
+    import json
+
+    from riskflow.functions.rule_checks import RuleErrors, require_sound, rule_errors
+
+    sound = {"column": "amount", "operator": ">", "points": 5, "reason": "r", "value": 1}
+    wrong = {
+        "column missing": {"column": None}, "column unknown": {"column": "colour"}, "operator unknown": {"operator": "=>"},
+        "points not a whole number": {"points": 1.5}, "reason missing": {"reason": ""}, "no operand": {"value": None},
+        "compare_column unknown": {"compare_column": "colour"},
+    }
+    entries = [(0, json.dumps(sound)), (1, json.dumps({**sound, "value": "ATIVO", "column": "payer_status"})), (2, "[]"), (3, "{"), (4, None)]
+    for number, change in enumerate(wrong.values(), 10):
+        entries.append((number, json.dumps({k: v for k, v in {**sound, **change}.items() if v is not None})))
+    entries.append((30, json.dumps({"points": True})))
+    found = {r.entry_no: r.violations for r in rule_errors(spark.createDataFrame(entries, "entry_no int, entry string")).collect()}
+    assert found == {
+        2: ["not an object"], 3: ["not an object"], 4: ["not an object"],
+        **{number: [name] for number, name in enumerate(wrong, 10)},
+        30: ["column missing", "operator missing", "points not a whole number", "reason missing", "no operand"],
+    }
+    require_sound(spark, [sound])
+    with pytest.raises(RuleErrors, match="rule 1: operator unknown, points not a whole number"):
+        require_sound(spark, [sound, {**sound, "operator": "~", "points": "5"}])
+
+
+def test_the_rules_of_the_package_are_sound(spark):
+    import yaml
+
+    from riskflow.functions.rule_checks import require_sound
+    from riskflow.functions.rules import DEFAULT_RULES
+
+    require_sound(spark, yaml.safe_load(DEFAULT_RULES.read_text())["rules"])
