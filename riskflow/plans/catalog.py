@@ -36,7 +36,7 @@ from riskflow.schemas import AUDIT_EVENTS, FACT, FACT_KEY, REGISTRY_JSON_FIELDS
 from riskflow.sources import fixtures, footers, registry as registry_source
 from riskflow.sources.batches import assign_epochs, number_batches, sorted_copy
 from riskflow.sources.footers import NullsFound
-from riskflow.sources.tables import new_folder, read_or_empty, written
+from riskflow.sources.tables import new_folder, read_or_empty, remove_files, written
 from riskflow.sources.transactions import file_order, read_transactions, with_file_seq
 from riskflow.streaming import ingest
 
@@ -510,6 +510,30 @@ def folder_load_in_one_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact(spark, fact).drop("load_seq")
 
 
+def resumed_folder_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that ends at a bad load; once that is delivered anew, a resumed run takes it and what follows."""
+    rows = fixtures.transactions(spark, sf_dir)
+    bad = _with_nulls(rows)
+    inbox, fact, trail = (new_folder(spark, name) for name in ("inbox", "fact", "audit"))
+    for load in range(fixtures.LOADS):
+        part = F.col("file_seq") == load
+        fixtures.deliver((bad if load == 2 else rows).where(part), f"{inbox}/day={load}")
+    settings, known = _quarantining(spark), fixtures.registry(spark, sf_dir)
+
+    def go_on() -> int:
+        return load_folder(spark, inbox, known, fact, trail, settings, unit="folder", resume=True)
+
+    try:
+        go_on()
+    except (PySparkException, NullsFound):
+        remove_files(spark, inbox, ["day=2"])
+    fixtures.deliver(rows.where("file_seq = 2"), f"{inbox}/day=2")
+    go_on()
+    if go_on():
+        raise AssertionError("loads that have landed were taken again")
+    return _fact(spark, fact)
+
+
 def _trail(spark: SparkSession, path: str) -> DataFrame:
     state = audit.current_state(read_or_empty(spark, path, AUDIT_EVENTS))
     name = F.element_at(F.split("file", "/"), -1)
@@ -590,7 +614,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         risk_scored, risk_history, risk_history_split, risk_history_batched, incremental_load,
-        folder_load, folder_load_in_one_job, folder_load_audit, one_job_audit, stream_audit,
+        folder_load, resumed_folder_load, folder_load_in_one_job, folder_load_audit, one_job_audit, stream_audit,
         failing_load_audit, stream_load,
         batch_then_stream_load,
         strip_and_hash, payload_fingerprint, plain_fingerprint, company_age, cache_expiries,

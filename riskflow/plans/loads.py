@@ -9,7 +9,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from riskflow.functions.rules import Rule, load_rules
-from riskflow.operators import audit
+from riskflow.operators import audit, inputs
 from riskflow.operators.enrich import distinct_companies, enrich, with_company_age
 from riskflow.operators.keyindex import (
     buckets_in,
@@ -33,9 +33,10 @@ from riskflow.operators.quality import require_landable, require_no_nulls, with_
 from riskflow.operators.scoring import score_history
 from riskflow.operators.skew import BROADCAST_ROWS, HOT_ROWS
 from riskflow.schemas import FACT_KEY
+from riskflow.sources.footers import refuse_nulls
 from riskflow.sources.batches import EPOCHS_PER_FILE, assign_epochs, sorted_copy
 from riskflow.sources.tables import new_folder, working_tables, written
-from riskflow.sources.transactions import load_names, read_transactions, with_file_seq
+from riskflow.sources.transactions import load_name, paths, read_transactions, with_file_seq
 
 #: Maps the distinct companies of a load to registry rows.
 RegistryLookup = Callable[[DataFrame], DataFrame]
@@ -191,17 +192,21 @@ def audited_load(
     settings: LoadSettings,
     owner: str | None = None,
     micro_batch: int | None = None,
+    whole: dict[str, list[str]] | None = None,
 ) -> int:
     """:func:`land` between audit events of each of ``files`` (``file, file_seq``).
 
     A failure is recorded for all of them, as they land together, and raised again. Working
-    tables are removed either way.
+    tables are removed either way. Where ``transactions`` are ``whole`` files (paths by load), those whose
+    footers tell of nulls are refused before any data is read.
     """
     spark = transactions.sparkSession
     started = datetime.now(timezone.utc)
     begun = audit.begin(spark, audit_path, files, started)
     with working_tables(spark):
         try:
+            for name, paths_of_load in (whole or {}).items():
+                refuse_nulls(spark, paths_of_load, name)
             done = land(transactions, registry, fact_path, load_seq, settings, owner, micro_batch)
         except Exception:
             audit.end(audit_path, begun, audit.FAILED, started, datetime.now(timezone.utc))
@@ -225,6 +230,7 @@ def load_folder(
     settings: LoadSettings,
     unit: str = "file",
     one_job: bool = False,
+    resume: bool = False,
 ) -> int:
     """Load every file (or folder) below ``input_path`` in name order; gives rows read.
 
@@ -232,19 +238,37 @@ def load_folder(
     first failing one ends the run. ``one_job`` resolves all of them in a single job with
     the file number as epoch: the same fact rows, but published together or not at all,
     and the stored keys are read once instead of once per file. Either way there is one audit
-    row per file.
+    row per file. ``resume`` leaves out loads whose files have all landed as they are, and notes those it lands.
     """
     transactions = read_transactions(spark, input_path, unit)
     first = next_load_seq(spark, fact_path)
-    files = spark.createDataFrame(
-        list(enumerate(load_names(transactions, input_path, unit))), f"{FILE_SEQ} int, file string"
-    )
+    whole: dict[str, list[str]] = {}
+    for path in paths(transactions):
+        whole.setdefault(load_name(spark, path, unit, input_path), []).append(path)
+    names = sorted(whole)
+    listing = None
+    if resume:
+        listed = [(path, name) for name in names for path in whole[name]]
+        listing = written(inputs.described(
+            spark, spark.createDataFrame(listed, "path string, file string"), len(listed)
+        ), "listing")
+        open_loads = {row["file"] for row in inputs.unfinished(listing, fact_path).collect()}
+        names = [name for name in names if name in open_loads]
+        if not names:
+            return 0
     if one_job:
-        numbered = with_file_seq(transactions, unit, input_path)
-        return audited_load(numbered, registry, fact_path, audit_path, first, files, settings)
+        files = spark.createDataFrame(list(enumerate(names)), f"{FILE_SEQ} int, file string")
+        some = transactions if not resume else read_transactions(spark, [p for n in names for p in whole[n]], unit)
+        numbered = with_file_seq(some, unit, input_path)
+        total = audited_load(
+            numbered, registry, fact_path, audit_path, first, files, settings, whole={n: whole[n] for n in names}
+        )
+        if listing is not None:
+            inputs.finish(listing.where(F.col("file").isin(names)), fact_path, first)
+        return total
 
     total = 0
-    for position, name in enumerate(load_names(transactions, input_path, unit)):
+    for position, name in enumerate(names):
         one = read_transactions(spark, f"{input_path}/{name}", unit)
         total += audited_load(
             one.withColumns({"file": F.lit(name), FILE_SEQ: F.lit(0)}),
@@ -254,5 +278,8 @@ def load_folder(
             first + position,
             spark.createDataFrame([(0, name)], f"{FILE_SEQ} int, file string"),
             settings,
+            whole={name: whole[name]},
         )
+        if listing is not None:
+            inputs.finish(listing.where(F.col("file") == name), fact_path, first + position)
     return total

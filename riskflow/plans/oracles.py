@@ -282,6 +282,7 @@ ORACLES: dict[str, str] = {
     ),
     "incremental_load": INCREMENTAL,
     "folder_load": LOADED,
+    "resumed_folder_load": LOADED,
     "folder_load_in_one_job": derived(f"SELECT {MUTATED_FACT} FROM enriched", **LANDED),
     "stream_load": LOADED,
     "batch_then_stream_load": LOADED,

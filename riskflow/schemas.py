@@ -81,6 +81,11 @@ KEY_INDEX = _struct(
 #: Membership bitmaps per load and part of the hash space.
 KEY_FILTERS = _struct(("part", T.LongType()), ("ids", T.BinaryType()), ("load_seq", T.LongType()))
 
+#: The ledger of input files that have landed.
+FINISHED_INPUTS = _struct(
+    ("file", _text), ("path", _text), ("size", T.LongType()), ("digest", _text), ("load_seq", T.LongType())
+)
+
 FINAL_COLUMNS = FACT.fieldNames()
 
 #: One row per (id, payload) lands in the fact table.

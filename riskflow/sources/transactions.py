@@ -44,7 +44,7 @@ def _columns() -> list[Column]:
     return [*[F.col(name) for name in TRANSACTIONS.fieldNames()], *place]
 
 
-def read_transactions(spark: SparkSession, path: str, unit: str = "file") -> DataFrame:
+def read_transactions(spark: SparkSession, path: str | list[str], unit: str = "file") -> DataFrame:
     """Input columns, ``path`` (of the file a row came in) and ``row_index`` (its place there).
 
     Unused columns, also these two, are never read.
@@ -54,7 +54,7 @@ def read_transactions(spark: SparkSession, path: str, unit: str = "file") -> Dat
     reader = spark.read.schema(TRANSACTIONS).option("pathGlobFilter", "*.parquet")
     if unit == "folder":
         reader = reader.option("recursiveFileLookup", "true")
-    return reader.parquet(path).select(*_columns())
+    return reader.parquet(*([path] if isinstance(path, str) else path)).select(*_columns())
 
 
 def stream_transactions(

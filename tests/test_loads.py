@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from builders import PAYER, SETTINGS, payment, payments, some_id, sound_registry
-from riskflow.operators import audit
+from riskflow.operators import audit, landed
 from riskflow.operators.landed import landed_loads
 from riskflow.operators.landing import next_load_seq, read_fact, stream_load_seq
 from riskflow.operators.quality import duplicate_keys
@@ -144,6 +144,22 @@ def test_loads_of_equal_names_stay_apart(spark, place):
     assert sorted(r.file for r in state) == ["2024/x", "2025/x", "2025/y a+b%c"]
 
 
+@pytest.mark.parametrize("one_job", [False, True])
+def test_a_resumed_run_takes_what_is_new_or_changed(spark, place, one_job):
+    deliver(spark, place, "2024/x", payment(1))
+    deliver(spark, place, "2025/x", payment(1, amount=200.0))
+    assert run(spark, place, resume=True, one_job=one_job) == 2
+    assert run(spark, place, resume=True, one_job=one_job) == 0
+    deliver(spark, place, "2025/y", payment(2))
+    payments(spark, payment(1, amount=300.0), payment(3)).coalesce(1).write.mode("overwrite").parquet(f"{place.inbox}/2025/x")
+    assert run(spark, place, resume=True, one_job=one_job) == 3
+    assert len(facts(spark, place)) == 5 and facts(spark, place)[some_id(1), "300.00"][1] == 75
+    assert run(spark, place, resume=True, one_job=one_job) == 0
+    # What is not in the manifest any more has to be loaded again.
+    landed.record(spark, place.fact, 0, False)
+    assert run(spark, place, resume=True, one_job=one_job) > 0
+
+
 @pytest.mark.parametrize("one_job", [False, True])
 def test_empty_load_completes(spark, place, one_job):
     deliver(spark, place, "a")
@@ -210,9 +226,9 @@ def test_stream_equals_batch_and_remembers_what_it_loaded(spark, place):
     }
     # Notes of micro-batches go when they land; the manifest names them instead.
     assert subfolders(spark, f"{place.fact}/_streams") == []
-    landed = landed_loads(spark, place.fact).collect()
-    assert sorted((r.load_seq, r.micro_batch, r.rows) for r in landed) == [(0, 0, 2), (1, 1, 2), (2, 2, 1)]
-    owner = landed[0].owner
+    entries = landed_loads(spark, place.fact).collect()
+    assert sorted((r.load_seq, r.micro_batch, r.rows) for r in entries) == [(0, 0, 2), (1, 1, 2), (2, 2, 1)]
+    owner = entries[0].owner
     assert stream_load_seq(spark, place.fact, owner, 1) == 1
 
 
