@@ -40,14 +40,14 @@ from riskflow.sources.tables import new_folder, written
 WIDTH = 100
 CORE = 32
 BATCHES = 4
-#: Different runs of an anchor that are compared in one task.
-CROWD = 1000
+#: Different runs of an anchor that are compared in one task: about 4 MB of text and 1 million strings.
+CROWD = 30_000
 #: Bytes that are hashed at a time, and that are searched for equal runs before the shuffle.
 SLICE = 1 << 20
 GROUP = 8 << 20
-#: Bits of the filters that keep documents without work out of the shuffles. They are literals of 128 KB,
-#: whatever the input: the more documents have work, the fewer they keep out.
-FILTER_BITS = 20
+#: Bits of the bitmap of repeated ids, a literal of 4 KB. A document whose bit is set by chance only gets a
+#: ``tie`` that it does not need.
+ID_BITS = 15
 _LOWEST = -(1 << 63)
 
 _U = np.uint64
@@ -331,19 +331,14 @@ def identified(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST)).alias("doc"), F.coalesce("text", F.lit("")).alias("text")
     )
     several = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    known = member(bits_of(several, "doc"), "doc")
+    known = member(bitmap(several.select(F.xxhash64("doc").alias("hash")), ID_BITS).value.tobytes(), "doc")
     tie = F.when(known, F.xxhash64("text").bitwiseAND(0x7FFFFFFF).cast("int")).otherwise(F.lit(0))
     return rows.select("doc", tie.alias("tie"), "text")
 
 
-def bits_of(rows: DataFrame, *columns: str) -> bytes:
-    """A bitmap of fixed size: the bits of the hashes of ``columns``."""
-    return bitmap(rows.select(F.xxhash64(*columns).alias("hash")), FILTER_BITS).value.tobytes()
-
-
 def member(bits: bytes, *columns: str) -> Column:
-    """Whether the bit of the hash of ``columns`` is set: true of all that set it, and of few others."""
-    spot = F.xxhash64(*columns).bitwiseAND((1 << FILTER_BITS) - 1).cast("int")
+    """Whether the bit of the hash of ``columns`` is set in a bitmap."""
+    spot = F.xxhash64(*columns).bitwiseAND((1 << ID_BITS) - 1).cast("int")
     byte = F.conv(F.hex(F.substring(F.lit(bits), F.floor(spot / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return F.call_function("shiftright", byte, spot % 8).bitwiseAND(1) == 1
 
@@ -374,14 +369,14 @@ def repeats(rows: DataFrame, batches: int = BATCHES, width: int = WIDTH, core: i
     for found in stored[1:]:
         many = many.unionByName(found.where("open").select("key", *place))
     many = written(many.distinct(), "open-runs")
-    with_work = rows.where(member(bits_of(many, "doc", "tie"), "doc", "tie")).dropDuplicates(["doc", "tie"])
+    once = rows.dropDuplicates(["doc", "tie"])
     taken = F.substring(F.col("text").cast("binary"), F.col("s") + 1, F.col("n") + (width - 1))
-    filled = many.join(with_work, ["doc", "tie"]).select("key", *place, taken.alias("bytes"))
+    filled = many.join(once, ["doc", "tie"]).select("key", *place, taken.alias("bytes"))
     crowded = small(written(many.groupBy("key").agg(F.count(F.lit(1)).alias("runs")).where(F.col("runs") > crowd).select("key"), "crowds"))
     filled = written(filled.join(crowded.withColumn("crowded", F.lit(True)), "key", "left"), "run-bytes")
     pairs = filled.where(F.col("crowded").isNull()).drop("crowded").repartition("key").sortWithinPartitions("key", "doc", "tie", "s")
     schema = "doc long, tie int, s int, n int"
-    compared = pairs.mapInArrow(_compared(width, 32 << 20), schema)
+    compared = pairs.mapInArrow(_compared(width, 4 << 20), schema)
 
     strings = filled.where("crowded").mapInArrow(_spread_strings(width), "name long, doc long, tie int, s int")
     least = strings.groupBy("name").agg(F.min(F.struct("doc", "tie", "s")).alias("least"), F.count(F.lit(1)).alias("times"))
@@ -430,9 +425,9 @@ def without_repeats(docs: DataFrame, with_text: bool = True, batches: int = BATC
     rows = identified(docs)
     found = repeats(rows, batches, width, core, crowd, size)
     places = found.groupBy("doc", "tie").agg(F.collect_list(F.struct("s", "n")).alias("places"))
-    with_work = rows.where(member(bits_of(found, "doc", "tie"), "doc", "tie")).dropDuplicates(["doc", "tie"])
+    once = rows.dropDuplicates(["doc", "tie"])
     schema = "doc long, tie int, n_removed long, spans array<struct<begin:long,end:long>>, kept_sha256 string, kept binary"
-    cut = with_work.join(places, ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(_cut(width, with_text), schema)
+    cut = once.join(places, ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(_cut(width, with_text), schema)
     whole = rows.select(
         "doc", "tie", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256"),
         *([F.col("text").cast("binary").alias("bytes")] if with_text else []),
