@@ -33,7 +33,7 @@ from riskflow.plans.loads import (
     with_epochs,
 )
 from riskflow.schemas import AUDIT_EVENTS, FACT, FACT_KEY, REGISTRY_JSON_FIELDS
-from riskflow.sources import fixtures, footers, registry as registry_source
+from riskflow.sources import cache, fixtures, footers, registry as registry_source
 from riskflow.sources.batches import assign_epochs, number_batches, sorted_copy
 from riskflow.sources.footers import NullsFound
 from riskflow.sources.tables import new_folder, read_or_empty, remove_files, written
@@ -212,6 +212,17 @@ def cache_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(registry_source.read_cache(spark, path))
 
 
+def cache_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of a cache of two versions, the second with later changes, after its compaction."""
+    path = new_folder(spark, "cache")
+    entries = fixtures.registry_cache(spark, sf_dir)
+    number = F.substring("cnpj", 2, 13).cast("long")
+    cache.append(entries, path)
+    cache.append(entries.where(number % 4 == 0).withColumn("status", F.lit("NULA")), path)
+    cache.compact(spark, path, fixtures.RUN_TIME)
+    return shown(cache.live(spark, path, fixtures.RUN_TIME))
+
+
 def registry_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registry rows of a batch: live cache entries and snapshot rows for the rest."""
     hits, misses = registry_source.split_cache(*_companies_and_live(spark, sf_dir))
@@ -619,7 +630,7 @@ QUERIES: dict[str, Query] = {
         batch_then_stream_load,
         strip_and_hash, payload_fingerprint, plain_fingerprint, company_age, cache_expiries,
         payer_roles, receiver_roles, enriched, enriched_with_repeated_companies, distinct_companies, cache_split, cache_stats,
-        cache_refresh, registry_merged, registry_parsed, registry_rejected, registry_fetched,
+        cache_refresh, cache_compacted, registry_merged, registry_parsed, registry_rejected, registry_fetched,
         rule_columns, rule_errors, all_operators, mutation_check, unseen_rows, loads_to_read, sorted_rows, sorted_batches,
         null_report, footer_null_report, null_totals, null_gate, landing_rejects, landing_accepted, key_uniqueness,
         files_processed, audit_state, load_ids,

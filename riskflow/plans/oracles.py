@@ -347,6 +347,12 @@ ORACLES: dict[str, str] = {
            WHERE cnpj IN (SELECT cnpj FROM companies) AND NOT EXISTS (SELECT 1 FROM live l WHERE l.cnpj = reg.cnpj)""",
         **CACHE,
     ),
+    "cache_compacted": derived(
+        """SELECT cnpj, CASE WHEN number % 4 = 0 THEN 'NULA' ELSE status END AS status, activity_start_date,
+             cast(capital_stock as double) AS capital_stock,
+             cast(epoch(TIMESTAMP '2024-01-15 03:00:00') as bigint) AS expires_at FROM live""",
+        live=LIVE,
+    ),
     "registry_merged": derived(
         """SELECT cnpj, status, activity_start_date, cast(capital_stock as double) AS capital_stock
            FROM reg WHERE cnpj IN (SELECT cnpj FROM companies)""",
