@@ -148,7 +148,7 @@ def test_masks_cover_every_set_of_four_bits():
 
 
 def plain_lines(rows):
-    """Later copies of runs of 1, 2, 4 ... lines, and of whole texts."""
+    """Later copies of runs of every length, and of whole texts."""
     keys = sorted({(LOW if r[0] is None else r[0], r[1]) for r in rows if r[1] is not None})
     first_text, seen, out = {}, set(), {}
     runs = []
@@ -160,11 +160,11 @@ def plain_lines(rows):
             out[i, t] = "" if sum(map(len, part)) >= lines.MIN_CHARS else t
             continue
         gone = set()
-        for k in range(12):
-            for a in range(len(part) - (1 << k) + 1):
-                run = (k, *part[a:a + (1 << k)])
-                if run in seen and sum(map(len, run[1:])) >= lines.MIN_CHARS:
-                    gone |= set(range(a, a + (1 << k)))
+        for width in range(1, len(part) + 1):
+            for a in range(len(part) - width + 1):
+                run = tuple(part[a:a + width])
+                if run in seen and sum(map(len, run)) >= lines.MIN_CHARS:
+                    gone |= set(range(a, a + width))
                 seen.add(run)
         runs.append(gone)
         out[i, t] = "\n".join(x for n, x in enumerate(part) if n not in gone)
@@ -185,6 +185,31 @@ def test_line_runs(spark, docs, rows, nothing):
     assert lines.without_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("hot", [lines.HOT, 3])
+def test_whole_runs_of_short_lines_go(spark, hot):
+    """Runs of any length whose windows of 1, 2, 4 ... lines are all too short; hot names dealt by place."""
+    rnd = random.Random(7)
+    short = ["", "a", "bc", "menu", "line nine", "six it"]
+    made = [
+        ["line nine", "nine line", "nine nine"], ["x1", "line nine", "nine line", "nine nine", "y1"],
+        ["Menu", "Home", "a long line of the page that is here"], ["Menu", "Home", "a long line of the page that is here", "z"],
+        ["ab"] * 40, ["ab"] * 25 + ["end"],
+    ] + [[rnd.choice(short) for _ in range(rnd.randrange(1, 30))] for _ in range(25)]
+    frame = [(i, "\n".join(part)) for i, part in enumerate(made)]
+    want = plain_lines(frame)
+    assert want[1, frame[1][1]] == "x1\ny1" and want[3, frame[3][1]] == "z"
+    got = lines.without_repeats(spark.createDataFrame(frame, "doc_id long, text string"), hot=hot).collect()
+    assert {r.doc_id: r.text for r in got} == {i: want[i, t] for i, t in frame}
+
+
+def test_line_columns_of_any_name(spark):
+    text = "one long line that comes again and again"
+    names = ["_key", "_runs", "_d", "_t", "_told", "runs", "told", "row", "d", "t", "i", "first", "name"]
+    frame = spark.createDataFrame([(i, text, *names) for i in range(3)], ["doc_id", "text", *names])
+    got = lines.without_repeats(frame).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == [(i, "" if i else text, *names) for i in range(3)]
+
+
 def test_repeated_rows_do_not_multiply(spark):
     block = "\n".join(f"line number {k} of a block" for k in range(16))
     frame = spark.createDataFrame([(1, f"{block}\n{block}")] * 20, "doc_id long, text string")
