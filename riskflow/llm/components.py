@@ -50,11 +50,12 @@ def roots(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 
 def survivors(keyed: DataFrame, nodes: DataFrame, linked: DataFrame) -> DataFrame:
-    """The row of ``keyed`` with the smallest ``_key`` of each component, without ``_key``.
+    """The ``row`` of ``keyed`` with the smallest ``key`` of each component, as columns.
 
-    ``nodes`` has the smallest ``_key`` of each ``node``, ``linked`` the ``root`` of linked nodes.
+    ``keyed`` holds whole rows as a struct beside their key, so their columns may have any names;
+    ``nodes`` has the smallest ``key`` of each ``node``, ``linked`` the ``root`` of linked nodes.
     """
     best = nodes.join(linked, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(
-        F.min("_key").alias("_key")
-    ).select("_key")
-    return keyed.join(best, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+        F.min("key").alias("key")
+    ).select("key")
+    return keyed.join(best, "key", "left_semi").dropDuplicates(["key"]).select("row.*")

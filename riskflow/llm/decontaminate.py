@@ -151,8 +151,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns kept."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == F.col("_bad"), "left_anti")
+    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("bad")).distinct()
+    # The row stays a struct of its own, so its columns may have any names.
+    whole = docs.select(F.struct("*").alias("row"))
+    return whole.join(bad, F.col("row.doc_id").cast("long") == F.col("bad"), "left_anti").select("row.*")
 
 
 def op2_template_contamination(spark, sf_dir: str) -> DataFrame:

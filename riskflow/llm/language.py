@@ -96,7 +96,7 @@ def train(docs: DataFrame, folds: int = 4, held_out: int = 2, per_language: int
     """Trigram counts per language outside the held-out fold, summed by Spark.
 
     The sample takes ids by hash below a bar that leaves about ``per_language`` documents
-    of each language. One row of ``BUCKETS`` counts per language comes to the driver.
+    of each language; rows without an id are taken by the hash of their text. One row of ``BUCKETS`` counts per language comes to the driver.
     """
     known = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text"
@@ -106,7 +106,7 @@ def train(docs: DataFrame, folds: int = 4, held_out: int = 2, per_language: int
         return LanguageModel([], np.zeros((0, BUCKETS)))
     steps = 1 << 20
     bars = F.create_map(*[F.lit(x) for name, n in rows.items() for x in (name, min(steps, 1 + steps * per_language // n))])
-    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < bars[F.col("lang")])
+    sample = known.where(F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(steps)) < bars[F.col("lang")])
 
     def counted(parts):
         sums: dict[str, np.ndarray] = {}

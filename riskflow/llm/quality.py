@@ -150,7 +150,7 @@ def train(
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("_label")).where(
         F.col("_label").isin(0, 1) & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != held_out)
-    )
+    ).distinct()  # a repeated row of labels counts once
     rows = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
     picked = None
     for label in (0, 1):

@@ -175,10 +175,10 @@ def hexadecimal(fp: str = "fp") -> Column:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of every component: the one with the smallest id, then text hash; no id comes last."""
-    keyed = docs.withColumn("_key", row_key(docs))
+    keyed = docs.select(row_key(docs).alias("key"), F.struct("*").alias("row"))
     prints = written(
-        keyed.select("_key", fingerprints(F.coalesce("text", F.lit(""))).alias("fp")), "prints"
-    ).groupBy("fp").agg(F.min("_key").alias("_key"))
+        keyed.select("key", fingerprints(F.coalesce("row.text", F.lit(""))).alias("fp")), "prints"
+    ).groupBy("fp").agg(F.min("key").alias("key"))
     return survivors(keyed, prints.withColumnRenamed("fp", "node"), roots(links(prints.select("fp"))))
 
 

@@ -210,6 +210,33 @@ def test_line_columns_of_any_name(spark):
     assert [tuple(r) for r in got] == [(i, "" if i else text, *names) for i in range(3)]
 
 
+def test_stage_columns_of_any_name(spark):
+    """Columns of the input that bear the names of working columns keep their values in every stage."""
+    names = ["_key", "_bad", "_runs", "_d", "_t", "_told", "_label", "key", "row", "bad", "root", "node", "range", "tail", "block"]
+    one, two = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    item = "Which rivers of the north run dry in the long summer"
+    rows = [(1, one, *names), (2, one, *names), (3, two, *names), (4, f"{two} {item} {one}", *names)]
+    frame = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(1, 5)], "doc_id long, quality int")
+    stays = lambda kept: sorted(tuple(r) for r in kept.select(frame.columns).collect())
+    assert stays(nearcopies.one_of_each(frame)) == [rows[0], rows[2], rows[3]]
+    assert stays(simhash.one_of_each(frame)) == [rows[0], rows[2], rows[3]]
+    assert stays(decontaminate.clean(frame, bench)) == rows[:3]
+    assert set(stays(quality.accepted(frame, marks))) <= set(rows)
+
+
+def test_repeated_labels_count_once(spark):
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice(["the", "of", "Buy", "!!!", "word", "7"]) for _ in range(5 + i))) for i in range(40)]
+    marks = [(i, i % 2) for i in range(40)]
+    data = spark.createDataFrame(rows, "doc_id long, text string")
+    once, often = (
+        quality.train(data, spark.createDataFrame(m, "doc_id long, quality int"), per_label=8) for m in (marks, marks + marks[:6] * 50)
+    )
+    assert np.array_equal(once.weights, often.weights) and once.cut == often.cut
+
+
 def test_repeated_rows_do_not_multiply(spark):
     block = "\n".join(f"line number {k} of a block" for k in range(16))
     frame = spark.createDataFrame([(1, f"{block}\n{block}")] * 20, "doc_id long, text string")
