@@ -40,8 +40,8 @@ from riskflow.operators.skew import hottest
 from riskflow.sources.tables import written
 
 MIN_CHARS = 20
-#: Positions of a name that are joined by its hash; see ``skew.hottest`` for the bound on hotter ones.
-HOT = 10_000
+#: Positions of a name beyond which it may count as hot; ``skew.hottest`` bounds how many names do.
+HOT = 1_000
 _LOWEST = -(1 << 63)
 _PLACE = ["d", "t", "i"]
 
@@ -53,13 +53,6 @@ def _key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     ]
 
 
-def copies(docs: DataFrame) -> DataFrame:
-    """``d, t`` of the documents whose text occurs under a smaller id."""
-    keys = docs.where(F.col("text").isNotNull()).select(*_key())
-    first = keys.groupBy("t").agg(F.min("d").alias("first"), F.max("d").alias("last")).where("first < last")
-    return keys.join(first, "t").where("d > first").select("d", "t").distinct()
-
-
 def _with_first(places: DataFrame, name: str, hot: int) -> DataFrame:
     """``places`` with the ``first`` place of their name, null where no other place has that name."""
     several = written(
@@ -71,12 +64,18 @@ def _with_first(places: DataFrame, name: str, hot: int) -> DataFrame:
     by_place = F.col("hot_first").isNotNull() | F.col(name).isNull()
     return (
         places.join(F.broadcast(hotter), name, "left")
-        .withColumn("route", F.when(by_place, F.xxhash64(*_PLACE)).otherwise(F.col(name)))
+        .withColumn("route", F.when(by_place, F.xxhash64(*_PLACE, F.spark_partition_id())).otherwise(F.col(name)))
         .join(several.select(F.col(name).alias("route"), F.col("first").alias("cold_first")), "route", "left")
         .select(*places.columns, F.when(by_place, F.col("hot_first")).otherwise(F.col("cold_first")).alias("first"))
     )
 
 
+def copies(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """``d, t`` of the documents whose text occurs under a smaller id."""
+    keys = docs.where(F.col("text").isNotNull()).select(*_key(), F.lit(0).alias("i"))
+    return _with_first(keys, "t", hot).where(F.struct(_PLACE) > F.col("first")).select("d", "t").distinct()
+
+
 def _levels(lines: DataFrame, min_chars: int, hot: int) -> list[DataFrame]:
     """By doubling: the repeated places of 1, 2, 4 ... lines, with their ``first`` place and ``edge``.
 
@@ -172,7 +171,7 @@ def repeated_runs(docs: DataFrame, later: DataFrame, min_chars: int = MIN_CHARS,
 
 def without_repeats(docs: DataFrame, min_chars: int = MIN_CHARS, hot: int = HOT) -> DataFrame:
     """``docs`` with the deleted lines cut out of ``text``."""
-    later = written(copies(docs), "line-copies")
+    later = written(copies(docs, hot), "line-copies")
     runs = repeated_runs(docs, later, min_chars, hot)
     told = runs.groupBy("d", "t").agg(F.collect_list(F.struct("begin", "end")).alias("runs")).unionByName(
         later.withColumn("runs", F.lit(None).cast("array<struct<begin:int,end:int>>"))

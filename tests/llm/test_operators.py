@@ -193,7 +193,7 @@ def test_whole_runs_of_short_lines_go(spark, hot):
     made = [
         ["line nine", "nine line", "nine nine"], ["x1", "line nine", "nine line", "nine nine", "y1"],
         ["Menu", "Home", "a long line of the page that is here"], ["Menu", "Home", "a long line of the page that is here", "z"],
-        ["ab"] * 40, ["ab"] * 25 + ["end"],
+        ["ab"] * 40, ["ab"] * 25 + ["end"], *[["a text that is here again", "and again"]] * 6,
     ] + [[rnd.choice(short) for _ in range(rnd.randrange(1, 30))] for _ in range(25)]
     frame = [(i, "\n".join(part)) for i, part in enumerate(made)]
     want = plain_lines(frame)
