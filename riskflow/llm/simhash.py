@@ -169,6 +169,16 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, bucket: int = BUCKET)
     return printed.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def text_links(nodes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """Links ``a, b`` of the nodes of ``node, text`` (one row each) whose fingerprints are connected within the radius."""
+    printed = written(nodes.select("node", fingerprints("text").alias("fp")), "prints")
+    prints = printed.groupBy("fp").agg(F.min("node").alias("least"))
+    same = printed.join(prints, "fp").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    named = lambda end: prints.select(F.col("fp").alias(end), F.col("least").alias(f"least_{end}"))
+    near = links(prints.select("fp"), radius, bucket).join(named("a"), "a").join(named("b"), "b")
+    return same.unionByName(near.select(F.col("least_a").alias("a"), F.col("least_b").alias("b")))
+
+
 def hexadecimal(fp: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 

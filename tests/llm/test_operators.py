@@ -114,6 +114,28 @@ def test_near_copies_of_the_pipeline(spark, bucket):
         assert r[0] == min((rows[k][0] for k in range(len(rows)) if group[k] == group[rows.index(r)] and rows[k][0] is not None), default=None)
 
 
+def test_the_stage_links_by_fingerprints_too(spark):
+    """Texts within the radius of op3 are one group in the pipeline, even below the Jaccard similarity of 0.8."""
+    import corpus_pipeline
+
+    rnd = random.Random(4)
+    base = [f"w{k}" for k in range(30)]
+    tail = lambda: " ".join(f"z{rnd.random()}" for _ in range(9))
+    texts = [" ".join(base * 12) + " " + tail() for _ in range(40)]  # repeats weigh in a fingerprint, not in a set
+    prints = [simhash.fingerprint(t) for t in texts]
+    one, two = next(
+        (a, b) for a, p in zip(texts, prints) for b, q in zip(texts, prints)
+        if a < b and ((p ^ q) & (2**64 - 1)).bit_count() <= 4
+    )
+    sets = [set(zip(*[t.split()[k:] for k in range(5)])) for t in (one, two)]
+    assert len(sets[0] & sets[1]) < 0.8 * len(sets[0] | sets[1])
+    copy = one.replace("w0 w1", "W0 W1", 1)
+    far = " ".join(f"v{k}" for k in range(80))
+    frame = spark.createDataFrame([(4, two), (2, one), (3, copy), (9, far), (8, far + " end")], "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicate_stage(spark, frame, "")
+    assert sorted(tuple(r) for r in kept.collect()) == [(2, one), (8, far + " end")]
+
+
 def test_no_near_copies_of_nothing(docs, nothing):
     assert nearcopies.one_of_each(nothing).count() == 0 and nearcopies.one_of_each(docs).columns == docs.columns
 
