@@ -27,16 +27,31 @@ class RuleErrors(ValueError):
 
 def violations(entry: Column, columns: Iterable[str] = RULE_COLUMNS) -> Column:
     """What is wrong with one entry (JSON text), in a fixed order; empty for a sound one."""
-    columns = list(columns)
-    parsed = F.try_parse_json(entry)
-    kind = F.schema_of_variant(parsed)
+    return _violations(_parts(entry), list(columns))
+
+
+def _parts(entry: Column) -> dict[str, Column]:
+    """What is asked of an entry: its kind, the kinds of its fields, and their texts."""
+    return _parts_of(F.try_parse_json(entry))
+
+
+def _parts_of(parsed: Column) -> dict[str, Column]:
+    out = {"kind": F.schema_of_variant(parsed)}
+    for name in ("column", "operator", "points", "value", "compare_column"):
+        inner = F.try_variant_get(parsed, f"$.{name}", "variant")
+        out[f"kind_{name}"] = F.coalesce(F.schema_of_variant(inner), F.lit("absent"))
+    return out | {f"text_{name}": F.try_variant_get(parsed, f"$.{name}", "string")
+                  for name in ("column", "operator", "reason", "compare_column")}
+
+
+def _violations(parts: dict[str, Column], columns: list[str]) -> Column:
+    kind = parts["kind"]
 
     def field(name: str) -> Column:
-        return F.try_variant_get(parsed, f"$.{name}", "string")
+        return parts[f"text_{name}"]
 
     def kind_of(name: str) -> Column:
-        inner = F.try_variant_get(parsed, f"$.{name}", "variant")
-        return F.coalesce(F.schema_of_variant(inner), F.lit("absent"))
+        return parts[f"kind_{name}"]
 
     def known(name: str) -> Column:
         return F.coalesce(field(name).isin(columns), F.lit(False))
@@ -63,8 +78,17 @@ def violations(entry: Column, columns: Iterable[str] = RULE_COLUMNS) -> Column:
 
 
 def rule_errors(entries: DataFrame, columns: Iterable[str] = RULE_COLUMNS) -> DataFrame:
-    """``entry_no, violations`` of the entries (``entry_no, entry``) that have any."""
-    checked = entries.select("entry_no", violations(F.col("entry"), tuple(columns)).alias("violations"))
+    """``entry_no, violations`` of the entries (``entry_no, entry``) that have any.
+
+    An entry is parsed once, each field is read once and the checks are decided once: each step goes
+    through ``explode`` as the one element of an array, below which nothing that is asked of it is pushed.
+    """
+    once = lambda value, name: F.explode(F.array(value)).alias(name)
+    parsed = entries.select("entry_no", once(F.try_parse_json("entry"), "parsed"))
+    fields = _parts_of(F.col("parsed"))
+    parts = parsed.select("entry_no", once(F.struct(*[value.alias(name) for name, value in fields.items()]), "parts"))
+    known = {name: F.col(f"parts.{name}") for name in fields}
+    checked = parts.select("entry_no", once(_violations(known, list(columns)), "violations"))
     return checked.where(F.size("violations") > 0)
 
 
