@@ -1,6 +1,7 @@
 """What moves and what is written: each row once, in short form, at any size."""
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -8,6 +9,8 @@ from builders import SETTINGS, payment, payments, some_id, sound_registry
 from riskflow.functions.fingerprint import payload_hash, with_packed_keys, with_unpacked_keys
 from riskflow.functions.rule_checks import rule_errors
 from riskflow.operators import keyindex
+from riskflow.operators.enrich import enrich
+from riskflow.operators.landing import read_fact
 from riskflow.operators.mutation import resolve_history
 from riskflow.plans import loads
 from riskflow.sources import fixtures
@@ -84,3 +87,49 @@ def test_an_entry_is_parsed_once_and_an_amount_is_written_once(spark):
     assert plan.count("parse_json(") == 1 or plan.lower().count("parsejson") == 1
     plan = planned(payments(spark, payment(1)).select(payload_hash()))
     assert plan.count("cast(amount") <= 8
+
+
+REGISTERED = "cnpj string, status string, company_age double, capital_stock float"
+
+
+def test_a_role_with_few_companies_is_not_shuffled(spark, folder, shuffled_plans):
+    spark.createDataFrame([(f"p{n % 40}", f"r{n % 3}", n) for n in range(200)],
+                          "payer_cnpj string, receiver_cnpj string, n long").write.parquet(folder("rows"))
+    rows = spark.read.parquet(folder("rows"))
+    aged = spark.createDataFrame([(f"{k}{n}", f"{k}{n}", 1.0, 2.0) for k in "pr" for n in range(0, 40, 2)], REGISTERED)
+    found = enrich(rows, aged, broadcast_rows=10, hot_rows=1_000)
+    assert planned(found).count("Exchange hashpartitioning(_route") == 2  # rows and payers; receivers meet them by a broadcast
+    known = {r.cnpj for r in aged.collect()}
+    for row in found.collect():
+        assert row.payer_status == (row.payer_cnpj if row.payer_cnpj in known else None)
+        assert row.receiver_status == (row.receiver_cnpj if row.receiver_cnpj in known else None)
+
+
+def test_rows_are_told_apart_without_a_copy_at_any_size(spark, folder, monkeypatch):
+    made = []
+    monkeypatch.setattr(loads, "written", lambda frame, purpose, *more: made.append(purpose) or kept(frame, purpose, *more))
+    kept = __import__("riskflow.sources.tables", fromlist=["written"]).written
+    some = [payment(i, payer_cnpj=f"{i % 20:014d}", amount=1e14 if i == 7 else 10.0 + i) for i in range(60)]
+    payments(spark, *some).write.parquet(folder("in"))
+    rows = spark.read.parquet(folder("in")).withColumns({"file": F.lit("a"), "file_seq": F.lit(0)})
+    sides = sorted({r[c] for r in rows.collect() for c in ("payer_cnpj", "receiver_cnpj")})
+    registry = spark.createDataFrame([(c, "x" * 101 if c.endswith("03") else "ATIVO", "2020-01-01", 1.0) for c in sides if not c.endswith("11")],
+                                     "cnpj string, status string, activity_start_date string, capital_stock float")
+    results = []
+    for limit in (1_000, 5):
+        made.clear()
+        settings = replace(SETTINGS, reject_path=folder(f"rejects{limit}"), broadcast_rows=limit)
+        assert loads.load_rows(rows, registry, folder(f"fact{limit}"), 0, settings) == (60, 53)
+        assert "batch" not in made
+        refused = spark.read.parquet(folder(f"rejects{limit}/load_seq=0")).select("transaction_id", "payer_status", "violations")
+        fact = read_fact(spark, folder(f"fact{limit}")).drop("load_seq")
+        results.append([sorted(map(str, frame.collect())) for frame in (refused, fact)])
+    assert results[0] == results[1] and len(results[0][0]) == 7
+
+
+def test_stored_rows_are_not_moved_by_the_manifest(spark, folder, shuffled_plans):
+    payments(spark, payment(1)).write.parquet(folder("in"))
+    rows = spark.read.parquet(folder("in")).withColumns({"file": F.lit("a"), "file_seq": F.lit(0)})
+    loads.load_rows(rows, sound_registry(spark), folder("fact"), 0, SETTINGS)
+    for frame in (read_fact(spark, folder("fact")), keyindex.read_keys(spark, folder("fact"))):
+        assert frame.count() == 1 and "SortMergeJoin" not in planned(frame)
