@@ -3,7 +3,7 @@
 import uuid
 from dataclasses import replace
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from builders import SETTINGS, payment, payments, some_id, sound_registry
 from riskflow.functions.fingerprint import payload_hash, with_packed_keys, with_unpacked_keys
@@ -33,6 +33,17 @@ def test_rows_beyond_the_limit_are_shuffled_once(spark, folder, shuffled_plans):
     assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") == 1
 
 
+def test_delivered_payments_are_not_sorted_by_load(spark, folder, monkeypatch):
+    key, seen, kept = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **k: seen.append(int(spark.conf.get(key))) or kept(*a, **k))
+    before = spark.conf.get(key)
+    rows = payments(spark, *[payment(i) for i in range(40)]).withColumn("file_seq", F.ascii(F.substring("transaction_id", -1, 1)) % 3)
+    fixtures.deliver(rows, folder("in"))
+    assert min(seen) > fixtures.LOADS and spark.conf.get(key) == before
+    found = spark.read.parquet(folder("in")).select(*rows.columns[:-1], F.col("load").cast("int").alias("file_seq"))
+    assert sorted(map(str, found.collect())) == sorted(map(str, rows.collect()))
+
+
 def test_null_ids_are_kept_and_never_flagged(spark):
     rows = spark.createDataFrame([(None, "h1", 1.0, 0), (None, "h2", 1.0, 1), ("a", "h1", 1.0, 0), ("a", "h2", 1.0, 1)],
                                  f"{KEYS}, amount double, epoch long")
