@@ -146,11 +146,11 @@ def pieces(docs: DataFrame, file: str, end: int = END, window: int = WINDOW, wit
     """Written table of all pieces, numbered by length within their input partition."""
 
     def cut(parts):
-        encode_texts, last, part = encoder(file).batch, end.to_bytes(4, "little"), TaskContext.get().partitionId()
+        encode_texts, last, part = encoder(file).column, end.to_bytes(4, "little"), TaskContext.get().partitionId()
         seen = [0] * (window + 1)
         for batch in parts:
             rows = []
-            found = encode_texts(batch.column("text").to_pylist())
+            found = encode_texts(batch.column("text"))
             for i, text_ids in zip(batch.column("doc_id").to_pylist(), found):
                 ids = text_ids + last
                 total = len(ids) // 4

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -344,6 +345,48 @@ def test_ids_equal_the_tokenizers(rows):
             assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("name", [dac.VOCABULARY, packing.VOCABULARY])
+def test_ids_of_white_space_marks_and_letters_of_any_kind(name):
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(5)
+    plain_ones = list("abzAZéÀßÿÞ09  \n\t\r\v\f.,;!#")
+    odd_ones = list("'<>|×÷½²ªµıſİжЖ中😀ﬁ\x00\x1c\x1f\x7f\x85\xa0\u1680\u180e\u2003\u2028\u200b\u0301\u3000\ufeff’") + ["'ll"] + 6 * ["<|endoftext|>"]
+    some = ["".join(rnd.choices(p, k=rnd.randrange(14))) for p in (plain_ones, plain_ones + odd_ones) for _ in range(5000)]
+    want = [e.ids for e in Tokenizer.from_file(tokens.path(name)).encode_batch_fast(some, add_special_tokens=False)]
+    got = tokens.Encoder(tokens.path(name)).column(pa.array(some, pa.large_string()))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want
+
+
+@pytest.mark.parametrize("name", [dac.VOCABULARY, packing.VOCABULARY])
+def test_new_plain_words_go_to_the_merges_alone(name):
+    """The tokenizer's normalizer and splits took two thirds of the time of a new word (op7, op8)."""
+    from tokenizers import Tokenizer
+
+    text = "Anblewh ètioné thshre,\nunéreou### 1234  EAONON!!\tund über\n\n die. "
+    want = Tokenizer.from_file(tokens.path(name)).encode(text, add_special_tokens=False).ids
+    encode = tokens.Encoder(tokens.path(name))
+    given = []
+    encode._encode = lambda some, **_: given.extend(some) or []
+    assert np.frombuffer(encode(text), "<u4").tolist() == want and given == []
+
+
+@pytest.mark.parametrize("name", [dac.VOCABULARY, packing.VOCABULARY])
+def test_ids_when_the_memory_of_pieces_overflows(name, monkeypatch):
+    rnd = random.Random(6)
+    some = [" ".join("".join(rnd.choices("abcé'", k=rnd.randrange(1, 5))) for _ in range(40)) for _ in range(300)]
+    want = tokens.Encoder(tokens.path(name)).batch(some)
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 2000)
+    encode = tokens.Encoder(tokens.path(name))
+    assert encode.batch(some) == want
+    for limit in ("MOST_PIECES", "MOST_BYTES"):
+        monkeypatch.setattr(tokens, limit, 300)
+        encode = tokens.Encoder(tokens.path(name))
+        assert encode.batch(some) == want and len(encode._known) < 1000
+        monkeypatch.undo()
+        monkeypatch.setattr(tokens, "GROUP_BYTES", 2000)
+
+
 def test_token_files(docs, rows, nothing):
     encode = tokens.encoder(tokens.path(dac.VOCABULARY))
     start, want = 0, []
