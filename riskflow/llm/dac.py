@@ -123,7 +123,7 @@ def write(docs: DataFrame, file: str, end: int = END) -> DataFrame:
     ordered = docs.repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def files(parts):
-        encode_texts, last = encoder(file).batch, end.to_bytes(4, "little")
+        encode_texts, last = encoder(file).column, end.to_bytes(4, "little")
         part, number, doc_ids, ids, held = TaskContext.get().partitionId(), 0, [], [], 0
 
         def row():
@@ -133,7 +133,7 @@ def write(docs: DataFrame, file: str, end: int = END) -> DataFrame:
             })
 
         for batch in parts:
-            found = encode_texts(batch.column("text").to_pylist())
+            found = encode_texts(batch.column("text"))
             for i, text_ids in zip(batch.column("doc_id").to_pylist(), found):
                 doc_ids.append(i)
                 ids.append(text_ids + last)

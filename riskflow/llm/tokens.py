@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Remembered pieces of a process and their bytes; beyond that it keeps only those of the texts at hand.
-MOST_PIECES = 2_000_000
+MOST_PIECES = 1_000_000
 MOST_BYTES = 1 << 26
 #: Bytes of the texts that are cut at a time.
 GROUP_BYTES = 1 << 22
