@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskflow.llm.common import table, texts
+from riskflow.llm.common import small, table, texts
 from riskflow.llm.tokens import encoder, path
 from riskflow.sources.tables import written
 
@@ -198,7 +198,8 @@ def packed(
                 [columns[n] if n in columns else batch.column(n) for n in names], names=names
             )
 
-    return cut.join(offsets, ["length", "part"]).withColumn("rank", F.col("rank") + F.col("before")).select(
+    # The pieces stay where they are while the counts, one a length and partition, fit a broadcast.
+    return cut.join(small(offsets), ["length", "part"]).withColumn("rank", F.col("rank") + F.col("before")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank", "ids"
     ).mapInArrow(dealt, _PACKED)
 

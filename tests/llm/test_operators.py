@@ -137,6 +137,29 @@ def test_the_stage_links_by_fingerprints_too(spark):
     assert sorted(tuple(r) for r in kept.collect()) == [(2, one), (8, far + " end")]
 
 
+def test_near_copies_that_meet_in_one_crowded_bucket_alone(spark):
+    """A pair that only a crowded bucket brings together is linked; unlike texts of that bucket are not."""
+    rnd, cache = random.Random(9), nearcopies.WordHashes()
+
+    def keys(text):
+        return set(nearcopies.band_keys(nearcopies.shingles(text.encode().split(), cache)).tolist())
+
+    def pair():
+        words = [f"p{rnd.random()}" for _ in range(100)]
+        other = list(words)
+        other[50] = other[75] = "x"
+        other += ["end"]
+        return " ".join(words), " ".join(other)
+
+    one, two = next((a, b) for a, b in iter(pair, None) if len(keys(a) & keys(b)) == 1)
+    sets = [set(zip(*[t.split()[k:] for k in range(5)])) for t in (one, two)]
+    assert 0.8 * len(sets[0] | sets[1]) <= len(sets[0] & sets[1])
+    rows = [(1, one), (2, two), (3, " ".join(reversed(one.split())))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = nearcopies.one_of_each(frame, bucket=1)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
 def test_no_near_copies_of_nothing(docs, nothing):
     assert nearcopies.one_of_each(nothing).count() == 0 and nearcopies.one_of_each(docs).columns == docs.columns
 
@@ -522,3 +545,13 @@ def test_pipeline_and_sql(spark):
         docs = kept
     packed = corpus_pipeline.run(spark, SMALL)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_the_pipeline_gives_the_ids_of_its_pieces(spark):
+    import corpus_pipeline
+
+    rows = [(1, "some words " * 900), (2, "a few words"), (None, "no id here"), (4, None)]
+    data = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.packing_stage(spark, data, "").collect()
+    assert {r.doc_id for r in got} == {1, 2, None, 4}
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in got)
