@@ -71,3 +71,16 @@ def test_counting_files_reads_no_data_column(spark, folder):
     payments(spark, payment(1)).write.parquet(folder("in"))
     plan = file_order(read_transactions(spark, folder("in")))._jdf.queryExecution().executedPlan()
     assert "ReadSchema: struct<>" in plan.toString()
+
+
+def test_derived_keys_order_rows_but_are_not_stored(spark, folder):
+    rows = spark.createDataFrame(
+        [(f"x{i % 7}", f"d{i * 37 % 11}", i % 2, i) for i in range(60)], "transaction_id string, description string, file_seq int, row_index long"
+    )
+    keys = lambda key: {"transaction_id": F.reverse(key), "payload_hash": F.md5(F.concat(key, "description"))}
+    ordered = sorted_copy(rows, folder("sorted"), load="file_seq", tie=("payload_hash", "row_index"), derived=keys)
+    assert ordered.columns == [*rows.columns, "sort_key"]
+    got = ordered.withColumns({f"_{name}": key for name, key in keys(F.col("transaction_id")).items()}).orderBy("sort_key").collect()
+    assert sorted(tuple(r)[:4] for r in got) == sorted(tuple(r) for r in rows.collect())
+    order = [(r.file_seq, r._transaction_id, r._payload_hash, r.row_index) for r in got]
+    assert order == sorted(order) and len({r.sort_key for r in got}) == 60
