@@ -144,3 +144,18 @@ def test_stored_rows_are_not_moved_by_the_manifest(spark, folder, shuffled_plans
     loads.load_rows(rows, sound_registry(spark), folder("fact"), 0, SETTINGS)
     for frame in (read_fact(spark, folder("fact")), keyindex.read_keys(spark, folder("fact"))):
         assert frame.count() == 1 and "SortMergeJoin" not in planned(frame)
+
+
+def test_nulls_are_looked_for_in_one_pass_and_refused_rows_before_their_fingerprint(spark, folder, monkeypatch):
+    some = [payment(i, payer_cnpj=f"{i % 20:014d}", amount=1e14 if i == 7 else 10.0 + i) for i in range(60)]
+    payments(spark, *some).write.parquet(folder("in"))
+    rows = spark.read.parquet(folder("in")).withColumns({"file": F.lit("a"), "file_seq": F.lit(0)})
+    taken, kept = [], loads.told_apart
+    monkeypatch.setattr(loads, "told_apart", lambda *a: taken.append(kept(*a)) or taken[-1])
+    settings = replace(SETTINGS, reject_path=folder("rejects"), broadcast_rows=5)
+    sides = sorted({r[c] for r in rows.collect() for c in ("payer_cnpj", "receiver_cnpj")})
+    registry = spark.createDataFrame([(c, "ATIVO", "2020-01-01", 1.0) for c in sides if not c.endswith("11")],
+                                     "cnpj string, status string, activity_start_date string, capital_stock float")
+    assert loads.load_rows(rows, registry, folder("fact"), 0, settings) == (60, 56)
+    accepted = taken[0][1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "raise_error" not in accepted and "violations" not in accepted
